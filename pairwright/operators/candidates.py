@@ -19,6 +19,7 @@ from pairwright.functions.serialize import pair_text
 from pairwright.functions.values import blank_if_null
 from pairwright.operators.schema import BLOCK_KEY, FIELDS, PAIR_KEY, pairs_to_prefixed, side
 from pairwright.plans.skew import ROWS_PER_CELL, skew_join
+from pairwright.plans.storage import materialize
 
 
 def test_lookup(test: DataFrame) -> DataFrame:
@@ -40,6 +41,8 @@ def candidates_in_test(a: DataFrame, b: DataFrame, test: DataFrame,
     and year.
     """
     keys = _blockable(test.select(*[blank_if_null(F.col(k)).alias(k) for k in PAIR_KEY])).distinct()
+    # The joins below read their inputs twice, to count keys and to join.
+    keys = materialize(keys, "test-keys")
 
     def records(df: DataFrame, s: str) -> DataFrame:
         return df.select(*[blank_if_null(F.col(f)).alias(f"{s}_{f}") for f in FIELDS],
@@ -47,6 +50,7 @@ def candidates_in_test(a: DataFrame, b: DataFrame, test: DataFrame,
     in_a = [f"a_{f}" for f in FIELDS]
     in_b = [f"b_{f}" for f in FIELDS]
     with_a = skew_join(keys, records(a, "a"), in_a, in_b, ["rid_a"], rows_per_cell=rows_per_cell)
+    with_a = materialize(with_a, "test-with-a")
     pairs = skew_join(with_a, records(b, "b"), in_b, ["rid_a"], ["rid_b"], rows_per_cell=rows_per_cell)
     same = reduce(and_, [F.col(f"{k}_a").eqNullSafe(F.col(f"{k}_b")) for k in BLOCK_KEY])
     return pairs.filter(same).select(
