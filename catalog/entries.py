@@ -15,7 +15,7 @@ from pairwright.functions.text import pair_cosine
 from pairwright.operators import blocking, candidates, dedup, evaluate, labels, learned, profile, schema, similarity, validate
 from pairwright.operators.schema import FIELDS, LISTING_COLUMNS, PAIR_KEY, side
 from pairwright.plans.rank import exact_rank, md5_order
-from pairwright.plans.storage import new_path
+from pairwright.plans.storage import materialize, new_path
 from pairwright.sources import models, readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -420,6 +420,10 @@ query("prediction_table", f"{Q.LINKAGE} SELECT {Q.KEYS}, match, candidate_rows,
 query("labelled_pair_ids", f"""{Q.LABELLED} SELECT DISTINCT a_id, b_id FROM lp WHERE match = 1
     AND a_id IN (SELECT rid FROM ma WHERE invalid = 0) AND b_id IN (SELECT rid FROM ab)""")(
     lambda d: evaluate.labelled_pair_ids(d.labelled, schema.extract_valid(d.marked_a), d.aligned_b))
+query("positional_pair_ids", f"""{IN_TEST}, nr AS (SELECT row_number() OVER (ORDER BY rid) - 1 AS i FROM lp)
+    SELECT 'A_' || i AS a_id, 'B_' || i AS b_id FROM nr WHERE i < (SELECT count(*) FROM ci)""")(
+    lambda d: evaluate.positional_pair_ids(d.labelled, materialize(
+        _in_test(d).select((F.col("rid_a") * PAIR_RID + F.col("rid_b")).alias("rid")), "record-pairs")))
 query("scored_pair_eval", "WITH s AS (SELECT CAST(n_chars % 1000 / 1000e0 >= 0.7e0 AS INT) AS predicted, quality AS match FROM documents JOIN labels USING (doc_id)) " + Q.prf("s"))(
     lambda d: evaluate.scored_pair_eval(d.scored, digits=6))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pairwright.functions.scoring import MATCH_THRESHOLD
 from pairwright.operators.blocking import candidate_count, dense_block_index
 from pairwright.operators.candidates import linkage_table
+from pairwright.plans.rank import range_bucket, running_totals
 from pairwright.plans.skew import ROWS_PER_CELL, skew_join
 
 PAIR = ["a_id", "b_id"]
@@ -82,6 +83,22 @@ def labelled_pair_ids(labelled: DataFrame, valid_a: DataFrame, valid_b: DataFram
     return true.join(ids_a, "a_id", "left_semi").join(ids_b, "b_id", "left_semi").select(*PAIR)
 
 
+def positional_ids(df: DataFrame, rid: str = "rid") -> DataFrame:
+    """``A_i``, ``B_i`` for the i-th row (from 0) in the order of its key."""
+    keys = df.select(F.col(rid).alias("rid"))
+    at = running_totals(keys, range_bucket(keys, "rid"), [F.col("rid")], {"position": F.lit(1).cast("bigint")})
+    name = lambda s: F.concat(F.lit(s), (F.col("position") - 1).cast("string"))
+    return at.select(name("A_").alias("a_id"), name("B_").alias("b_id"))
+
+
+def positional_pair_ids(labelled: DataFrame, records: DataFrame, rid: str = "rid") -> DataFrame:
+    """Labelled rows as pairs ``(A_i, B_i)`` by position, restricted to the
+    positions that the table of record pairs has. Labels are not looked at."""
+    known = positional_ids(records, rid)
+    return (positional_ids(labelled, rid).join(known.select("a_id"), "a_id", "left_semi")
+            .join(known.select("b_id"), "b_id", "left_semi").select(*PAIR))
+
+
 def pair_intersect(x: DataFrame, y: DataFrame) -> DataFrame:
     return x.select(*PAIR).intersect(y.select(*PAIR))
 
