@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairwright.llm import mixing, token_files
+from pairwright.llm import host_rules, mixing, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,3 +62,39 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_token_files")
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+
+
+@register("op6_simhash_classes")
+def op6_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+# Each text's windows and lines are numbered and grouped by document, as the rule says it.
+HOST_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, source AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rn, doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+win AS (SELECT rn, i, array_to_string(ws[i:i + 7], ' ') AS s FROM (SELECT rn, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+dup AS (SELECT rn, i FROM (SELECT rn, i, count(*) OVER (PARTITION BY rn, s) AS n FROM win) WHERE n > 1),
+cov AS (SELECT rn, sum(least(8, coalesce(nxt - i, 8))) AS n_repeat_words
+  FROM (SELECT rn, i, lead(i) OVER (PARTITION BY rn ORDER BY i) AS nxt FROM dup) GROUP BY rn),
+lines AS (SELECT rn, l FROM (SELECT rn, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+dl AS (SELECT rn, count(*) - count(DISTINCT l) AS n_dup_lines FROM lines GROUP BY rn),
+c AS (SELECT rn, doc_id, host, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+  CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN dl USING (rn) LEFT JOIN cov USING (rn)),
+j AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
+h AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(base_failed AS INT)) AS DOUBLE) AS f FROM j GROUP BY host),
+a AS (SELECT sum(n) AS n, sum(f) AS f, count(*) AS k, sum(f * f / n) AS ff, sum(n * n) AS nn FROM h),
+m AS (SELECT f / n AS m, f / n * (1 - f / n) AS ch, (ff - f * (f / n) - (k - 1) * (f / n) * (1 - f / n)) / greatest(n - nn / n, 1) AS sp FROM a),
+p AS (SELECT m, CASE WHEN ch > 0 THEN greatest(ch / greatest(sp, ch * 1e-6) - 1, 0) ELSE 1 END AS st FROM m),
+v AS (SELECT host, (f + m * st) / (n + st) AS host_rate FROM h, p)
+SELECT doc_id, j.host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(host_rate, 9) AS host_rate,
+  NOT base_failed AND NOT host_rate > 0.5 AS kept
+FROM j JOIN v ON j.host IS NOT DISTINCT FROM v.host
+"""
+
+
+@register("op5_host_rules", HOST_SQL)
+def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.judge(table(spark, sf_dir, "documents"))
