@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairwright.llm import host_rules, mixing, simhash, token_files
+from pairwright.llm import host_rules, mixing, simhash, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -98,3 +98,12 @@ FROM j JOIN v ON j.host IS NOT DISTINCT FROM v.host
 @register("op5_host_rules", HOST_SQL)
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents"))
+
+
+# Verdict and host with path, as the task fixes them.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+@register("op9_redirect_filter")
+def op9_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.rules_table(spark, URL_RULES))
