@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pairwright.llm import host_rules, mixing, simhash, token_files, url_filter
+from pairwright.llm import host_rules, mixing, simhash, token_files, toxicity, url_filter
+from pairwright.llm.common import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,7 +57,6 @@ FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
 
 @register("op1_mix_sources", MIX_SQL)
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 4))
 
 
@@ -107,3 +108,11 @@ URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 @register("op9_redirect_filter")
 def op9_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.rules_table(spark, URL_RULES))
+
+
+@register("op8_toxicity_scores")
+def op8_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", fold=5)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
