@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections import ChainMap
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,10 @@ from pairwright.plans.storage import new_path
 FORMAT = ("shard int, block int, first long, n_ids long, bits int, doc_ids array<long>, doc_ends array<long>, payload binary")
 # A block is closed when it holds this many ids; one document is never cut.
 IDS_PER_BLOCK = 65_536
-# Distinct words whose ids a task remembers.
-CACHED_WORDS = 400_000
+# Distinct runs of letters whose ids a worker remembers.
+CACHED_WORDS = 300_000
+# Closing marks that the tokenizer splits from letters.
+MARKS = ".,!?;:"
 
 
 def bits_for(vocabulary: int) -> int:
@@ -41,8 +45,15 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
     """Fixed-width packing, little-endian bit order."""
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError("an id does not fit the width")
-    shifts = np.arange(bits, dtype=np.uint32)
-    return np.packbits(((ids.astype(np.uint32)[:, None] >> shifts) & 1).astype(np.uint8).ravel(), bitorder="little").tobytes()
+    # Eight ids fill ``bits`` bytes; each id is added to the bytes it touches.
+    rows = np.zeros((-(-len(ids) // 8), 8), np.uint64)
+    rows.ravel()[:len(ids)] = ids
+    out = np.zeros((len(rows), bits + 4), np.uint8)
+    for k in range(8):
+        value = rows[:, k] << np.uint64(k * bits & 7)
+        for j in range((bits + 14) // 8):
+            out[:, (k * bits >> 3) + j] |= ((value >> np.uint64(8 * j)) & np.uint64(255)).astype(np.uint8)
+    return out[:, :bits].tobytes()[:-(-len(ids) * bits // 8)]
 
 
 def unpack(payload: bytes, bits: int, start: int, end: int) -> np.ndarray:
@@ -58,51 +69,68 @@ def unpack(payload: bytes, bits: int, start: int, end: int) -> np.ndarray:
 class WordEncoder:
     """Encodes texts through their distinct words.
 
-    Valid for tokenizers that drop white space and never join characters
-    across it, which is tested for the given file: the ids of a text are then
-    those of its words in order, and each distinct word is encoded once.
+    Valid for tokenizers that drop white space, lower-case, and split letters
+    from marks, which is tested for the given file: the ids of a text are
+    then those of its words in order, and those of a word that ends in a mark
+    are those of its letters and of the mark. So the library encodes each
+    distinct run of letters once.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.ends = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+        self.cores: dict[str, tuple[int, ...]] = {}
+
+    @staticmethod
+    def _parts(word: str) -> tuple[str, str]:
+        """Letters and closing mark; other words stay whole. Letters up to Latin Extended have one lower-case form."""
+        core, mark = (word[:-1], word[-1]) if word[-1] in MARKS else (word, "")
+        if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:
+            return core.lower(), mark
+        return word, ""
+
+    def _ids(self, words: list[str]) -> list[tuple[int, ...]]:
+        parts = [self._parts(w) for w in words]
+        cores = self.cores
+        new = list({x for p in parts for x in p if x and x not in cores})
+        coded = zip(new, (tuple(e.ids) for e in self.tokenizer.encode_batch(new, add_special_tokens=False)))
+        if len(cores) + len(new) <= CACHED_WORDS:
+            cores.update(coded)
+        else:  # what is remembered stays: frequent words come early
+            cores = ChainMap(dict(coded), cores)
+        return [cores[c] + cores[m] if m else cores[c] for c, m in parts]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids start and end."""
         words, word_ends = split_words(texts)
         distinct, codes = encode_words(words)
-        if len(self.known) > CACHED_WORDS:
-            self._clear()
-        new = [w for w in distinct if w not in self.known]
-        if new:
-            coded = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            for w in new:
-                self.known[w] = len(self.known)
-            last = self.ends[-1][-1]
-            self.flat.append(np.fromiter((i for ids in coded for i in ids), np.int64))
-            self.ends.append(last + np.cumsum([len(ids) for ids in coded]))
-        flat, ends = np.concatenate(self.flat), np.concatenate(self.ends)
-        self.flat, self.ends = [flat], [ends]
         if not len(codes):
-            return np.zeros(0, np.int64), np.zeros(len(word_ends), np.int64)
-        place = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))[codes]
-        sizes = ends[place + 1] - ends[place]
-        id_ends = np.concatenate(([0], np.cumsum(sizes)))
-        steps = np.arange(id_ends[-1]) - np.repeat(id_ends[:-1], sizes)
-        return flat[np.repeat(ends[place], sizes) + steps], id_ends[word_ends]
+            return np.zeros(0, np.int32), np.zeros(len(word_ends), np.int64)
+        ids = self._ids(distinct)
+        flat = np.fromiter(chain.from_iterable(ids), np.int32)
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in ids], dtype=np.int32))).astype(np.int32)
+        sizes = np.diff(ends)[codes]
+        id_ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        places = np.arange(id_ends[-1], dtype=np.int32) + np.repeat(ends[codes] - id_ends[:-1].astype(np.int32), sizes)
+        return flat[places], id_ends[word_ends]
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def _writer(path: str, end_id: int, ids_per_block: int):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        shard, encoder = TaskContext.get().partitionId(), WordEncoder(path)
-        bits = bits_for(encoder.tokenizer.get_vocab_size(with_added_tokens=True))
+        shard, coder = TaskContext.get().partitionId(), encoder(path)
+        bits = bits_for(coder.tokenizer.get_vocab_size(with_added_tokens=True))
         names = [f.split()[0] for f in FORMAT.split(", ")]
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
         docs: list[int | None] = []
@@ -114,7 +142,7 @@ def _writer(path: str, end_id: int, ids_per_block: int):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
 
         for batch in slices(batches, "text"):
-            ids, ends = encoder.encode(batch.column(1))
+            ids, ends = coder.encode(batch.column(1))
             for doc, s, e in zip(batch.column(0).to_pylist(), ends[:-1], ends[1:]):
                 docs.append(doc)
                 parts.append(np.append(ids[s:e], end_id))
