@@ -42,7 +42,8 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndar
 
     A null text has no words. ``lower`` lower-cases A-Z only.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    # take() makes a copy that starts at byte 0; ascii_lower goes wrong on a part of a larger array.
+    texts = pc.fill_null(texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts)))), "")
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     ends = np.asarray(lists.offsets) - lists.offsets[0].as_py()
     words = lists.flatten()
