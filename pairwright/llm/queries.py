@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import host_rules, mixing, simhash, token_files, toxicity, url_filter
+from pairwright.llm import host_rules, mixing, quality, simhash, token_files, toxicity, url_filter
 from pairwright.llm.common import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,11 @@ def op8_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", fold=5)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op2_quality_scores")
+def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", fold=5)
+    scored = quality.with_score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.3).cast("int").alias("predicted"))
