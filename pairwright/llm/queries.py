@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import host_rules, mixing, quality, simhash, token_files, toxicity, url_filter
+from pairwright.llm import decontamination, host_rules, mixing, quality, simhash, token_files, toxicity, url_filter
 from pairwright.llm.common import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,8 @@ def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", fold=5)
     scored = quality.with_score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op10_benchmark_leaks")
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
