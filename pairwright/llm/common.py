@@ -74,23 +74,26 @@ def crc_fold(key: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def as_blocks(flat: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows (block, data) of a flat float array, without blocks of zeros."""
+def as_blocks(flat: np.ndarray, single: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows (block, data) of a flat float array, without blocks of zeros; ``single`` sends 4 bytes a number."""
     blocks, data = [], []
     for k in range(math.ceil(len(flat) / BLOCK)):
         part = flat[k * BLOCK:(k + 1) * BLOCK]
         if part.any():
             blocks.append(k)
-            data.append(part.astype("<f8").tobytes())
+            data.append(np.pad(part, (0, BLOCK - len(part))).astype("<f4" if single else "<f8").tobytes())
     yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
 
 
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<f4" if len(data) == 4 * BLOCK else "<f8").astype(np.float64)
+
+
 def _add_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(data, "<f8")
-            sums[k] = sums[k] + part if k in sums else part
+            sums[k] = sums[k] + _numbers(data) if k in sums else _numbers(data)
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "data"])
 
 
@@ -108,8 +111,7 @@ def sum_blocks(parts: DataFrame, size: int) -> np.ndarray:
     last = first.repartition(min(n_blocks, 32), "block").mapInArrow(_add_blocks, "block int, data binary")
     out = np.zeros(n_blocks * BLOCK)
     for row in last.collect():
-        part = np.frombuffer(row["data"], "<f8")
-        out[row["block"] * BLOCK:row["block"] * BLOCK + len(part)] = part
+        out[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = _numbers(row["data"])
     return out[:size]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import decontamination, host_rules, mixing, quality, simhash, token_files, toxicity, url_filter
+from pairwright.llm import decontamination, host_rules, language_model, mixing, quality, simhash, token_files, toxicity, url_filter
 from pairwright.llm.common import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,8 @@ def op2_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_benchmark_leaks")
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_lm_scores")
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_corpus(table(spark, sf_dir, "documents"), fold=7, holdout=2)
