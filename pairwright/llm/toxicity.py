@@ -89,14 +89,10 @@ class Counts:
 
     @classmethod
     def of(cls, keys: np.ndarray, weights: np.ndarray) -> Counts:
-        some = keys != 0
-        distinct, place = np.unique(keys[some], return_inverse=True)
-        values = np.zeros((len(distinct), *weights.shape[1:]))
+        distinct, place = np.unique(keys, return_inverse=True)
         if weights.ndim == 1:
-            values = np.bincount(place, weights[some], len(distinct))
-        else:
-            values = np.stack([np.bincount(place, w, len(distinct)) for w in weights[some].T], axis=1)
-        return cls(distinct, values)
+            return cls(distinct, np.bincount(place, weights, len(distinct)))
+        return cls(distinct, np.stack([np.bincount(place, w, len(distinct)) for w in weights.T], axis=1))
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros((len(keys), *self.values.shape[1:]))
@@ -108,35 +104,28 @@ class Counts:
 
 
 class KneserNey:
-    """Two interpolated models with shared lower orders, from words and their counts in each class."""
+    """Two interpolated models with shared lower orders, from a table of n-grams (``NGRAMS``) and counts in each class."""
 
-    def __init__(self, words: list[str], counts: np.ndarray):
-        """``counts``: a row per word with its number of ordinary and of toxic documents."""
-        grams, contexts, at, ends = _ngrams(words)
-        weights = np.repeat(counts.astype(np.float64), np.diff(ends), axis=0)
+    def __init__(self, table: dict[str, np.ndarray], counts: np.ndarray):
+        """``counts``: a row per n-gram with its number of ordinary and of toxic documents."""
         self.grams: list[Counts] = []
-        self.contexts: list[Counts] = []  # per order: total and number of different continuations
+        self.contexts: list[Counts] = []  # per order: totals and numbers of different continuations
+        some = counts.sum(axis=1) > 0
+        of_order = [np.flatnonzero(some & (table["n"] == n)) for n in range(1, ORDER + 1)]
         for n in range(1, ORDER + 1):
-            g, c = grams[n - 1], contexts[n - 1]
+            rows = of_order[n - 1]
+            g, c = table["gram"][rows], table["context"][rows]
             if n >= CLASS_ORDER:
-                table = Counts.of(g, weights)
-                first = np.unique(g, return_index=True)[1]
-                first = first[g[first] != 0]
-                seen = (table.get(g[first]) > 0).astype(np.float64)
-                totals, kinds = Counts.of(c, weights), Counts.of(c[first], seen)
-                self.contexts.append(Counts(totals.keys, np.concatenate([totals.values, kinds.get(totals.keys)], axis=1)))
+                own = counts[rows]
+                self.grams.append(Counts.of(g, own))
+                totals = Counts.of(c, np.concatenate([own, own > 0], axis=1).astype(np.float64))
             else:
                 # Continuation counts: in how many different longer n-grams, of either class, this one ends.
-                longer = np.unique(grams[n], return_index=True)[1]
-                longer = longer[grams[n][longer] != 0]
-                table = Counts.of(g[longer], np.ones(len(longer)))
-                first = np.unique(g, return_index=True)[1]
-                first = first[g[first] != 0]
-                values = table.get(g)
-                totals = Counts.of(c[first], values[first])
-                kinds = Counts.of(c[first], (values[first] > 0).astype(np.float64))
-                self.contexts.append(Counts(totals.keys, np.stack([totals.values, kinds.get(totals.keys)], axis=1)))
-            self.grams.append(table)
+                longer = of_order[n]
+                self.grams.append(Counts.of(table["ending"][longer], np.ones(len(longer))))
+                own = self.grams[-1].get(g)
+                totals = Counts.of(c, np.stack([own, own > 0], axis=1).astype(np.float64))
+            self.contexts.append(totals)
         self.alphabet = max(2, len(self.grams[0].keys) + 1)  # one more for letters never seen
 
     def ratios(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -250,6 +239,28 @@ def _word_kinds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(small[keys // 4].tolist(), pa.string()), pa.array(keys % 4, pa.int32()), pa.array(n, pa.int64())], ["word", "grp", "n"])
 
 
+NGRAMS = "n int, gram long, context long, ending long, n0 long, n1 long, n2 long, n3 long"
+
+
+def _count_ngrams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """N-grams of words: order, hash, hashes of the letters before the last and of the n-gram without its first letter, counts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 20_000):
+            part = batch.slice(at, 20_000)
+            grams, contexts, _, ends = _ngrams([w[:MAX_LETTERS] for w in part.column(0).to_pylist()])
+            counts = np.stack([np.asarray(part.column(k + 1), dtype=np.int64) for k in range(4)], axis=1)
+            weights = np.repeat(counts, np.diff(ends), axis=0)
+            for n in range(1, ORDER + 1):
+                rows = np.flatnonzero(grams[n - 1])
+                distinct, first, place = np.unique(grams[n - 1][rows], return_index=True, return_inverse=True)
+                first = rows[first]
+                ending = grams[n - 2][first] if n > 1 else np.zeros(len(first), np.uint64)
+                sums = [np.bincount(place, weights[rows, k], len(distinct)).astype(np.int64) for k in range(4)]
+                hashes = [pa.array(h.view(np.int64)) for h in (distinct, contexts[n - 1][first], ending)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), n, np.int32)), *hashes, *map(pa.array, sums)],
+                                                 [f.split()[0] for f in NGRAMS.split(", ")])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(text, half, y) of labelled documents outside fold 0 of crc32: at most ``limit`` of each class, those with the smallest hashes."""
     marked = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_id")).agg((F.max(label) > 0).cast("int").alias("y"))
@@ -284,19 +295,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int =
     sample = materialize(labelled_sample(docs, labels, label, fold, limit), "toxicity-sample")
     counted = sample.mapInArrow(_word_kinds, "word string, grp int, n long").groupBy("word").agg(
         *[F.sum(F.when(F.col("grp") == g, F.col("n")).otherwise(F.lit(0))).alias(f"n{g}") for g in range(4)])
-    rows = counted.orderBy("word").toArrow()  # words of at most 2 * limit documents
-    words = [w[:MAX_LETTERS] for w in rows.column(0).to_pylist()]
-    n = np.stack([np.asarray(rows.column(k + 1), dtype=np.float64) for k in range(4)], axis=1) if words else np.zeros((0, 4))
-
-    def model(columns: np.ndarray) -> KneserNey:
-        some = columns.sum(axis=1) > 0
-        return KneserNey([w for w, s in zip(words, some) if s], columns[some])
-
-    halves = (model(n[:, :2]), model(n[:, 2:]))
+    groups = [f"n{g}" for g in range(4)]
+    found = counted.mapInArrow(_count_ngrams, NGRAMS).groupBy("n", "gram").agg(
+        F.min("context").alias("context"), F.min("ending").alias("ending"), *[F.sum(g).alias(g) for g in groups]).toArrow()  # of at most 2 * limit documents
+    table = {k: np.asarray(found.column(k)) if k == "n" else np.asarray(found.column(k), dtype=np.int64).view(np.uint64) for k in ("n", "gram", "context", "ending")}
+    n = np.stack([np.asarray(found.column(g), dtype=np.float64) for g in groups], axis=1)
+    del found
+    halves = (KneserNey(table, n[:, :2]), KneserNey(table, n[:, 2:]))
     schema = ", ".join(f"{f} double" for f in FEATURES) + ", y int"
     found = sample.mapInArrow(_features(halves), schema).orderBy(*FEATURES, "y").toPandas()
     weights = fit_logistic(found[[*FEATURES]].to_numpy(), found["y"].to_numpy(np.float64))
-    return Toxicity(model(n[:, :2] + n[:, 2:]), weights)
+    return Toxicity(KneserNey(table, n[:, :2] + n[:, 2:]), weights)
 
 
 def _scorer(shared):
