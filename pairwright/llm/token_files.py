@@ -32,9 +32,13 @@ FORMAT = ("shard int, block int, first long, n_ids long, bits int, doc_ids array
 # A block is closed when it holds this many ids; one document is never cut.
 IDS_PER_BLOCK = 65_536
 # Distinct runs of letters whose ids a worker remembers.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 700_000
+# Text encoded at once; a larger part has fewer distinct words for its size.
+TEXT_AT_ONCE = 8_000_000
 # Closing marks that the tokenizer splits from letters.
 MARKS = ".,!?;:"
+# The sign by which the vocabulary marks the last piece of a word.
+WORD_END = "</w>"
 
 
 def bits_for(vocabulary: int) -> int:
@@ -81,25 +85,39 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.cores: dict[str, tuple[int, ...]] = {}
+        words = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(words.values()) + 1, bool)
+        self.ends_word[[i for w, i in words.items() if w.endswith(WORD_END)]] = True
+
+    def _encode_letters(self, cores: list[str]) -> list[tuple[int, ...]]:
+        """Ids of runs of letters: many are encoded as one text, and cut after each id that ends a word."""
+        lines = [" ".join(cores[k:k + 500]) for k in range(0, len(cores), 500)]
+        ids = [i for e in self.tokenizer.encode_batch(lines, add_special_tokens=False) for i in e.ids]
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist() if ids else []
+        if len(ends) != len(cores):
+            raise ValueError("the tokenizer does not end each run of letters with one id that ends a word")
+        return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends)]
 
     @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
+    def _parts(word: str) -> tuple[str, str, bool]:
         """Letters and closing mark; other words stay whole. Letters up to Latin Extended have one lower-case form."""
         core, mark = (word[:-1], word[-1]) if word[-1] in MARKS else (word, "")
-        if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:
-            return core.lower(), mark
-        return word, ""
+        if core.isalpha() and (core.isascii() or max(core) < "\u0250" and "\u0130" not in core):
+            return core.lower(), mark, True
+        return word, "", False
 
     def _ids(self, words: list[str]) -> list[tuple[int, ...]]:
         parts = [self._parts(w) for w in words]
         cores = self.cores
-        new = list({x for p in parts for x in p if x and x not in cores})
-        coded = zip(new, (tuple(e.ids) for e in self.tokenizer.encode_batch(new, add_special_tokens=False)))
-        if len(cores) + len(new) <= CACHED_WORDS:
+        letters = list({c for c, _, plain in parts if plain and c not in cores})
+        others = list({x for c, m, plain in parts for x in ((m,) if plain else (c,)) if x and x not in cores})
+        coded = dict(zip(letters, self._encode_letters(letters)))
+        coded.update(zip(others, (tuple(e.ids) for e in self.tokenizer.encode_batch(others, add_special_tokens=False))))
+        if len(cores) + len(coded) <= CACHED_WORDS:
             cores.update(coded)
         else:  # what is remembered stays: frequent words come early
-            cores = ChainMap(dict(coded), cores)
-        return [cores[c] + cores[m] if m else cores[c] for c, m in parts]
+            cores = ChainMap(coded, cores)
+        return [cores[c] + cores[m] if m else cores[c] for c, m, _ in parts]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids start and end."""
@@ -141,7 +159,7 @@ def _writer(path: str, end_id: int, ids_per_block: int):
             values = [shard, block, first, held, bits, docs, np.cumsum([len(p) for p in parts]).tolist(), pack(np.concatenate(parts), bits)]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_AT_ONCE):
             ids, ends = coder.encode(batch.column(1))
             for doc, s, e in zip(batch.column(0).to_pylist(), ends[:-1], ends[1:]):
                 docs.append(doc)
