@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import decontamination, host_rules, language_model, mixing, quality, simhash, token_files, toxicity, url_filter
+from pairwright.llm import decontamination, host_rules, language_model, mixing, quality, simhash, surrogates, token_files, toxicity, url_filter
 from pairwright.llm.common import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,12 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_lm_scores")
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_corpus(table(spark, sf_dir, "documents"), fold=7, holdout=2)
+
+
+# A key for the test tables; a real one is kept apart from code and data.
+PII_KEY = "test-key"
+
+
+@register("op3_pii_surrogates")
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(table(spark, sf_dir, "documents"), PII_KEY)
