@@ -36,13 +36,18 @@ def expressions(words: Iterable[str]) -> list[str]:
     """Words without surrounding punctuation, lower-cased; the word itself if nothing is left."""
     out = []
     for w in words:
-        low = w.lower()
-        a, b = 0, len(low)
-        while a < b and not low[a].isalnum():
-            a += 1
-        while b > a and not low[b - 1].isalnum():
-            b -= 1
-        out.append(low[a:b] or low)
+        if w.isalpha():
+            out.append(w.lower())
+        elif w[:-1].isalpha() and not w[-1].isalnum():
+            out.append(w[:-1].lower())
+        else:
+            low = w.lower()
+            a, b = 0, len(low)
+            while a < b and not low[a].isalnum():
+                a += 1
+            while b > a and not low[b - 1].isalnum():
+                b -= 1
+            out.append(low[a:b] or low)
     return out
 
 
