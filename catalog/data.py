@@ -8,25 +8,26 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwright.operators import schema, validate
 from pairwright.functions.serialize import group_fingerprint
 
 LISTINGS = """
-base AS (SELECT k, vk, 1995 + vk % 7 AS y, p_brand br, p_name nm, CAST(tp AS BIGINT) AS odo
- FROM (SELECT o_orderkey k, CASE WHEN o_orderkey % 41 = 0 AND o_orderkey > 0 THEN o_orderkey - 1 ELSE o_orderkey END vk, floor(o_totalprice / 4) tp FROM {orders}) o
- JOIN {part} ON p_partkey = o.vk % 200),
+base AS (SELECT k, vk, 1980 + vk % 30 AS y, concat(p_brand, 'x', CAST(CAST(floor(p_partkey / 200) AS BIGINT) AS STRING)) br, p_name nm, CAST(tp AS BIGINT) AS odo, np
+ FROM (SELECT o_orderkey k, CASE WHEN o_orderkey % 41 = 0 AND o_orderkey > 0 THEN o_orderkey - 1 ELSE o_orderkey END vk, floor(o_totalprice / 4) tp,
+   (SELECT count(*) FROM {part}) AS np FROM {orders}) o
+ JOIN {part} ON p_partkey = o.vk % o.np),
 va AS (SELECT k AS id,
   CASE WHEN k % 23 = 0 THEN NULL WHEN k % 29 = 0 THEN concat('SHORT', CAST(k AS STRING)) WHEN k % 31 = 0 THEN lpad(CAST(k AS STRING), 17, '0')
        WHEN k % 37 = 0 THEN concat('1HGCM8263', 'Z', 'A', lpad(CAST(vk AS STRING), 6, '0'))
-       ELSE concat('1HGCM8263', substr('STVWXY1', CAST(y - 1994 AS INT), 1), 'A', lpad(CAST(vk AS STRING), 6, '0')) END AS VIN,
+       ELSE concat('1HGCM8263', substr('ABCDEFGHJKLMNPRSTVWXY123456789', CAST(y - 1979 AS INT), 1), 'A', lpad(CAST(vk AS STRING), 6, '0')) END AS VIN,
   CASE WHEN k % 53 = 0 THEN NULL ELSE replace(br, '#', '-') END AS manufacturer,
   CASE WHEN k % 4 = 0 THEN upper(nm) WHEN k % 4 = 1 THEN concat(nm, ' lx') ELSE nm END AS model,
   CASE WHEN k % 59 = 0 THEN NULL WHEN k % 11 = 0 THEN concat(CAST(y AS STRING), '.0') ELSE CAST(y AS STRING) END AS year,
-  CASE WHEN k % 13 = 0 THEN NULL ELSE CAST(odo AS STRING) END AS odometer,
-  nullif(split_part('gas,diesel,hybrid,other,electric,', ',', CAST(vk % 6 + 1 AS INT)), '') AS fuel,
+  CASE WHEN k % 13 = 0 THEN NULL WHEN k % 47 = 0 THEN chr(160) || CAST(odo AS STRING) || ' ' ELSE CAST(odo AS STRING) END AS odometer,
+  CASE WHEN k % 19 = 0 THEN chr(9) || nullif(split_part('gas,diesel,hybrid,other,electric,', ',', CAST(vk % 6 + 1 AS INT)), '') || chr(160) ELSE nullif(split_part('gas,diesel,hybrid,other,electric,', ',', CAST(vk % 6 + 1 AS INT)), '') END AS fuel,
   nullif(split_part('automatic,manual,other,', ',', CAST(vk % 4 + 1 AS INT)), '') AS transmission,
   nullif(split_part('SUV,truck,pickup,offroad,mini-van,other,', ',', CAST(vk % 7 + 1 AS INT)), '') AS type,
   nullif(split_part('4 cylinders,6 cylinders,8 cylinders,other,2 cylinders,', ',', CAST(vk % 6 + 1 AS INT)), '') AS cylinders,
@@ -34,7 +35,7 @@ va AS (SELECT k AS id,
   nullif(split_part('white,Grey,custom,red,', ',', CAST(vk % 5 + 1 AS INT)), '') AS paint_color
   FROM base),
 vb AS (SELECT k AS id,
-  concat('1HGCM8263', substr('STVWXY1', CAST(y - 1994 AS INT), 1), 'A', lpad(CAST(vk AS STRING), 6, '0')) AS vin,
+  concat('1HGCM8263', substr('ABCDEFGHJKLMNPRSTVWXY123456789', CAST(y - 1979 AS INT), 1), 'A', lpad(CAST(vk AS STRING), 6, '0')) AS vin,
   CASE WHEN k % 51 = 0 THEN NULL ELSE replace(br, '#', ' ') END AS make_name,
   CASE WHEN k % 2 = 0 THEN nm ELSE concat(nm, ' ex') END AS model_name, CAST(y AS STRING) AS year,
   CASE WHEN k % 39 = 0 THEN NULL ELSE concat(CAST(odo + (k % 5) * 7000 AS STRING), '.0') END AS mileage,
@@ -42,15 +43,18 @@ vb AS (SELECT k AS id,
   nullif(split_part('A,M,CVT,Dual Clutch', ',', CAST(vk % 4 + 1 AS INT)), '') AS transmission,
   nullif(split_part('SUV / Crossover,Pickup Truck,Pickup Truck,SUV / Crossover,Minivan,Sedan,', ',', CAST(vk % 7 + 1 AS INT)), '') AS body_type,
   nullif(split_part('I4,V6,V8,H6,I2,', ',', CAST(vk % 6 + 1 AS INT)), '') AS engine_cylinders,
-  nullif(split_part('AWD,4X2,RWD,FWD', ',', CAST(vk % 4 + 1 AS INT)), '') AS wheel_system,
+  CASE WHEN k % 17 = 0 THEN chr(9) || 'AWD' || chr(9) ELSE nullif(split_part('AWD,4X2,RWD,FWD', ',', CAST(vk % 4 + 1 AS INT)), '') END AS wheel_system,
   nullif(split_part('Bright White,Dark Gray Metallic,Midnight Blue,Maroon,', ',', CAST(vk % 5 + 1 AS INT)), '') AS exterior_color
-  FROM base WHERE k % 3 = 0),
+  FROM base),
 vt AS (SELECT a.id AS a_id, b.id AS b_id, 1 AS match FROM va a JOIN vb b ON a.VIN = b.vin
  UNION ALL SELECT a.id, b.id, 0 FROM va a JOIN vb b ON a.id = b.id + 1 WHERE a.VIN IS NULL OR a.VIN <> b.vin
- UNION ALL SELECT a.id, b.id, 0 FROM va a JOIN vb b ON a.id = b.id + 1400 WHERE a.VIN IS NULL OR a.VIN <> b.vin)"""
+ UNION ALL SELECT a.id, b.id, 0 FROM va a JOIN (SELECT *, 3 * (SELECT max(np) FROM base) AS step FROM vb) b ON a.id = b.id + b.step WHERE a.VIN IS NULL OR a.VIN <> b.vin)"""
+
+
 
-# A labelled pair's row key: both ids in one number.
-PAIR_RID = 100_000_000_000
+def pair_rid(a: str, b: str) -> Column:
+    """A pair's row key: both ids as one text, of any size."""
+    return F.concat(F.col(a).cast("string"), F.lit("-"), F.col(b).cast("string"))
 
 
 class Data:
@@ -99,7 +103,7 @@ class Data:
         return schema.normalize_numeric(schema.normalize_all(self.aligned_b))
 
     def _label_pairs(self, a: DataFrame, b: DataFrame) -> DataFrame:
-        ids = self.label_ids.select((F.col("a_id") * PAIR_RID + F.col("b_id")).alias("rid"), "a_id", "b_id", "match")
+        ids = self.label_ids.select(pair_rid("a_id", "b_id").alias("rid"), "a_id", "b_id", "match")
         side = lambda df, s: df.select(F.col("rid").alias(f"{s}_id"), *[F.col(f).alias(f"{s}_{f}") for f in schema.FIELDS])
         return ids.join(side(a, "a"), "a_id").join(side(b, "b"), "b_id").select("rid", "a_id", "b_id", *schema.PAIR_KEY, "match")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import sql as Q
-from catalog.data import PAIR_RID, Data
+from catalog.data import Data, pair_rid
 from pairwright.functions import comparators, normalize, scoring, values, vin
 from pairwright.functions.serialize import record_text, row_fingerprint
 from pairwright.functions.text import pair_cosine
@@ -43,13 +43,24 @@ def column_query(name: str, source: str, result: Callable[[], Column], sql_resul
 def _csv_round_trip(d: Data, df: DataFrame, header: bool = True) -> DataFrame:
     path = new_path(d.spark, "csv")
     writers.write_csv(df, path, header=header)
-    return readers.read_csv_strings(d.spark, path, df.columns, header=header)
+    if not header:
+        return readers.read_csv_headerless(d.spark, path, df.columns)
+    return readers.read_csv_strings(d.spark, path, df.columns)
 
 
 query("scan_csv_string", f"{Q.BASE} SELECT * REPLACE (CAST(id AS VARCHAR) AS id) FROM va")(
     lambda d: _csv_round_trip(d, d.raw_a))
 query("scan_csv_headerless", f"{Q.BASE} SELECT * REPLACE (CAST(id AS VARCHAR) AS id) FROM vb")(
     lambda d: _csv_round_trip(d, d.raw_b, header=False))
+
+
+@query("scan_csv_subset", f"{Q.BASE} SELECT year, CAST(id AS VARCHAR) AS id, make_name FROM vb")
+def _(d: Data):
+    path = new_path(d.spark, "csv")
+    writers.write_csv(d.raw_b, path)
+    return readers.read_csv_strings(d.spark, path, ["year", "id", "make_name"])
+
+
 query("sink_csv", f"{Q.PREPARED} SELECT * REPLACE (CAST(rid AS VARCHAR) AS rid, CAST(invalid AS VARCHAR) AS invalid) FROM pb")(
     lambda d: _csv_round_trip(d, d.b))
 
@@ -97,10 +108,10 @@ IN_TEST = f"""{Q.LINKAGE}, ci AS MATERIALIZED (SELECT b1.* FROM b1 SEMI JOIN tk
     f"tk.{s}_{f} = coalesce(b1.{f if f in schema.BLOCK_KEY else f'{f}_{s}'}, '')" for s in 'ab' for f in FIELDS)})"""
 _SUFFIXED = [c for c in ("vin", *FIELDS, "invalid") if c not in schema.BLOCK_KEY]
 query("scan_pairs_suffixed", f"{IN_TEST} " + _split_sql(
-    f"SELECT '{{S}}' AS side, rid_a * {PAIR_RID} + rid_b AS rid, lower(trim(nullif(manufacturer, ''))) AS manufacturer, "
-    "TRY_CAST(year AS DOUBLE) AS year, " + ", ".join(f"lower(trim(nullif(CAST({c}_{{s}} AS VARCHAR), ''))) AS {c}" for c in _SUFFIXED)
+    f"SELECT '{{S}}' AS side, CAST(rid_a AS VARCHAR) || '-' || CAST(rid_b AS VARCHAR) AS rid, lower({Q.strip("nullif(manufacturer, '')")}) AS manufacturer, "
+    "TRY_CAST(year AS DOUBLE) AS year, " + ", ".join(f"lower({Q.strip(f"nullif(CAST({c}_{{s}} AS VARCHAR), '')")}) AS {c}" for c in _SUFFIXED)
     + " FROM ci"))(
-    lambda d: readers.split_suffixed_pairs(_in_test(d).withColumn("rid", F.col("rid_a") * PAIR_RID + F.col("rid_b")).drop("rid_a", "rid_b")))
+    lambda d: readers.split_suffixed_pairs(_in_test(d).withColumn("rid", pair_rid("rid_a", "rid_b")).drop("rid_a", "rid_b")))
 
 
 @query("sink_pair_text", f"{Q.LABELLED} SELECT {Q.PAIR_TEXT} AS line FROM lp")
@@ -161,7 +172,7 @@ column_query("block_fuel_key", "b", lambda: F.coalesce(normalize.block_fuel(F.co
 column_query("clean_str", "b", lambda: values.blank_if_null(F.col("color")), "coalesce(color, '')", Q.PREPARED, "pb")
 column_query("parse_float", "aligned_b", lambda: values.number_with_commas(F.concat(F.lit(" 1,0"), F.col("mileage"))),
              "TRY_CAST(replace(' 1,0' || mileage, ',', '') AS DOUBLE)", Q.ALIGNED, "ab")
-query("clean_numeric", f"{Q.ALIGNED} SELECT * REPLACE (TRY_CAST(year AS DOUBLE) AS year, TRY_CAST(mileage AS DOUBLE) AS mileage) FROM aa")(
+query("clean_numeric", f"{Q.ALIGNED} SELECT * REPLACE ({Q.number('year')} AS year, {Q.number('mileage')} AS mileage) FROM aa")(
     lambda d: schema.clean_numeric(d.aligned_a))
 column_query("vin_length_bad", "aligned_a", lambda: vin.length_bad(F.col("vin")).cast("int"), f"CAST({Q.LENGTH_BAD} AS INT)", Q.ALIGNED, "aa")
 column_query("vin_charset_bad", "aligned_a", lambda: vin.charset_bad(F.col("vin")).cast("int"), f"CAST({Q.CHARSET_BAD} AS INT)", Q.ALIGNED, "aa")
@@ -185,24 +196,26 @@ query("profile_nulls_uniques", f"{Q.BASE} " + " UNION ALL ".join(
     round((count(*) - count({c})) / count(*)::DOUBLE * 100, 2) AS null_pct, count(DISTINCT {c}) AS unique_values FROM va""" for c in _RAW_A))(
     lambda d: profile.profile_nulls_uniques(d.raw_a))
 _MEASURES = ", ".join(f"min({e}) AS {n}_min, max({e}) AS {n}_max, round(sum({e}) / count({e}), 2) AS {n}_mean"
-                      for n, e in (("price", "TRY_CAST(odometer AS DOUBLE)"), ("mileage", "TRY_CAST(odometer AS DOUBLE)")))
+                      for n, e in (("price", "o_totalprice"), ("mileage", Q.number("odometer"))))
 query("representativity", f"""{Q.BASE} SELECT count(*) AS total_rows, count(VIN) AS vin_present,
     round(count(VIN) / count(*)::DOUBLE * 100, 2) AS vin_pct, count(DISTINCT year) AS distinct_years, min(year) AS min_year, max(year) AS max_year,
-    count(DISTINCT manufacturer) AS distinct_manufacturers, count(DISTINCT model) AS distinct_models, {_MEASURES} FROM va""")(
-    lambda d: profile.representativity(d.aligned_a.withColumn("price", F.col("mileage"))))
-query("unique_vins", f"{Q.ALIGNED} SELECT vin FROM aa WHERE trim(vin) <> '' GROUP BY vin HAVING count(*) = 1")(
+    count(DISTINCT manufacturer) AS distinct_manufacturers, count(DISTINCT model) AS distinct_models, {_MEASURES} FROM va JOIN orders ON o_orderkey = id""")(
+    lambda d: profile.representativity(d.aligned_a.join(d.table("orders").select(F.col("o_orderkey").alias("rid"), F.col("o_totalprice").cast("string").alias("price")), "rid")))
+query("unique_vins", f"{Q.ALIGNED} SELECT vin FROM aa WHERE {Q.strip('vin')} <> '' GROUP BY vin HAVING count(*) = 1")(
     lambda d: profile.unique_vins(d.aligned_a))
+query("unique_vin_summary", f"""{Q.ALIGNED} SELECT count(*) AS distinct_vins, count(*) FILTER (n = 1) AS unique_vins
+    FROM (SELECT count(*) AS n FROM aa WHERE {Q.strip('vin')} <> '' GROUP BY vin)""")(lambda d: profile.unique_vin_summary(d.aligned_a))
 query("value_counts", f"{Q.PREPARED} SELECT cylinders, count(*) AS n FROM pa WHERE cylinders IS NOT NULL GROUP BY cylinders")(
     lambda d: profile.value_counts(d.a, "cylinders"))
 query("mark_invalid_vin", f"{Q.MARKED} SELECT * FROM mi")(lambda d: validate.mark_invalid_vin(d.aligned_a))
 query("vin_error_summary", f"""{Q.ALIGNED} SELECT count(*) FILTER (NOT ({Q.LENGTH_BAD} OR {Q.CHARSET_BAD} OR {Q.YEAR_BAD})) AS valid,
     count(*) FILTER ({Q.LENGTH_BAD}) AS length_errors, count(*) FILTER ({Q.CHARSET_BAD}) AS charset_errors,
     count(*) FILTER ({Q.YEAR_BAD}) AS year_code_errors FROM aa""")(lambda d: validate.vin_error_summary(d.aligned_a))
-_REPEATED = "vin IN (SELECT vin FROM aa WHERE vin IS NOT NULL GROUP BY vin HAVING count(*) > 1)"
+_REPEATED = "vin IN (SELECT vin FROM aa WHERE vin <> '' GROUP BY vin HAVING count(*) > 1)"
 query("mark_duplicate_vins", f"{Q.ALIGNED} SELECT * REPLACE (CASE WHEN {_REPEATED} THEN 1 ELSE invalid END AS invalid) FROM aa")(
     lambda d: validate.mark_duplicate_vins(d.aligned_a))
 query("duplicate_vin_summary", f"""{Q.MARKED} SELECT count(*) FILTER (d) AS rows_modified, count(*) FILTER (NOT d AND invalid = 0) AS rows_left_valid
-    FROM (SELECT vin IN (SELECT vin FROM mi WHERE vin IS NOT NULL GROUP BY vin HAVING count(*) > 1) AS d, invalid FROM mi)""")(
+    FROM (SELECT coalesce(vin IN (SELECT vin FROM mi WHERE vin <> '' GROUP BY vin HAVING count(*) > 1), false) AS d, invalid FROM mi)""")(
     lambda d: validate.duplicate_vin_summary(validate.mark_invalid_vin(d.aligned_a)))
 
 
@@ -423,7 +436,7 @@ query("labelled_pair_ids", f"""{Q.LABELLED} SELECT DISTINCT a_id, b_id FROM lp W
 query("positional_pair_ids", f"""{IN_TEST}, nr AS (SELECT row_number() OVER (ORDER BY rid) - 1 AS i FROM lp)
     SELECT 'A_' || i AS a_id, 'B_' || i AS b_id FROM nr WHERE i < (SELECT count(*) FROM ci)""")(
     lambda d: evaluate.positional_pair_ids(d.labelled, materialize(
-        _in_test(d).select((F.col("rid_a") * PAIR_RID + F.col("rid_b")).alias("rid")), "record-pairs")))
+        _in_test(d).select(pair_rid("rid_a", "rid_b").alias("rid")), "record-pairs")))
 query("scored_pair_eval", "WITH s AS (SELECT CAST(n_chars % 1000 / 1000e0 >= 0.7e0 AS INT) AS predicted, quality AS match FROM documents JOIN labels USING (doc_id)) " + Q.prf("s"))(
     lambda d: evaluate.scored_pair_eval(d.scored, digits=6))
 

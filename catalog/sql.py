@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from catalog.data import LISTINGS, PAIR_RID
-from pairwright.functions.normalize import BLOCK_FUEL_RENAMES, BODY_RENAMES, COLORS, TRANSMISSION_RENAMES
-from pairwright.functions.values import NUMBER_PATTERN
-from pairwright.functions.vin import YEAR_CODES
-from pairwright.operators.schema import FIELDS, LISTING_COLUMNS, PAIR_KEY, SOURCE_COLUMNS
+from catalog.data import LISTINGS
+from pairwright.operators.schema import FIELDS, LISTING_COLUMNS, PAIR_KEY
+
+# Fixed values, stated here again so that a wrong one in the library shows.
+TRANSMISSION_RENAMES = {"a": "automatic", "m": "manual", "cvt": "other", "dual clutch": "other"}
+BODY_RENAMES = {"suv / crossover": "suv", "pickup truck": "pickup"}
+BLOCK_FUEL_RENAMES = {"flex fuel vehicle": "gasoline", "biodiesel": "diesel", "compressed natural gas": "other", "propane": "other"}
+COLORS = ("white", "black", "silver", "blue", "grey", "red", "green", "custom", "brown", "yellow", "orange", "purple")
+YEAR_CODES = "ABCDEFGHJKLMNPRSTVWXY123456789"
+SOURCE_NAMES = {
+    "vehicles": {"VIN": "vin", "manufacturer": "manufacturer", "model": "model", "year": "year", "odometer": "mileage", "fuel": "fuel_type",
+                 "transmission": "transmission", "type": "body_type", "cylinders": "cylinders", "drive": "drive", "paint_color": "color"},
+    "used_cars": {"vin": "vin", "make_name": "manufacturer", "model_name": "model", "year": "year", "mileage": "mileage", "fuel_type": "fuel_type",
+                  "transmission": "transmission", "body_type": "body_type", "engine_cylinders": "cylinders", "wheel_system": "drive",
+                  "exterior_color": "color"},
+}
+
+
+def strip(c): return f"regexp_replace({c}, '^[\\s\\x0b\\x1c-\\x1f\\x85\\pZ]+|[\\s\\x0b\\x1c-\\x1f\\x85\\pZ]+$', '', 'g')"
 
 
 def _case(value: str, renames: dict[str, str]) -> str:
@@ -15,11 +29,11 @@ def _case(value: str, renames: dict[str, str]) -> str:
 
 
 def manufacturer(c): return f"replace(replace(lower({c}), '-', ''), ' ', '')"
-def fuel_type(c): return _case(f"lower(trim({c}))", {"gas": "gasoline"})
+def fuel_type(c): return _case(f"lower({strip(c)})", {"gas": "gasoline"})
 def lower(c): return f"lower({c})"
 def transmission(c): return _case(f"lower({c})", TRANSMISSION_RENAMES)
 def body_type(c): return f"replace(replace({_case(f'lower({c})', BODY_RENAMES)}, ' ', ''), '-', '')"
-def block_fuel(c): return _case(f"lower(trim({c}))", BLOCK_FUEL_RENAMES)
+def block_fuel(c): return _case(f"lower({strip(c)})", BLOCK_FUEL_RENAMES)
 
 
 def cylinders(c):
@@ -37,9 +51,9 @@ NORMALIZERS = {"manufacturer": manufacturer, "fuel_type": fuel_type, "color": co
                "transmission": transmission, "body_type": body_type, "cylinders": cylinders, "model": lower}
 
 
-def number(c): return f"CASE WHEN regexp_matches({c}, '{NUMBER_PATTERN}') THEN TRY_CAST(trim({c}) AS DOUBLE) END"
+def number(c): return f"CASE WHEN regexp_full_match({strip(c)}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST({strip(c)} AS DOUBLE) END"
 def whole(c): return f"TRY_CAST(trunc({number(c)}) AS BIGINT)"
-def whole_text(c): return f"coalesce(CAST({whole(c)} AS VARCHAR), trim({c}))"
+def whole_text(c): return f"coalesce(CAST({whole(c)} AS VARCHAR), {strip(c)})"
 
 
 V = "coalesce(vin, '')"
@@ -52,7 +66,7 @@ YEAR_BAD = (f"coalesce(length({V}) >= 10 AND {_Y} BETWEEN 1980 AND 2039 AND "
 
 
 def _align(source: str, kind: str) -> str:
-    cols = ", ".join(f"{s} AS {d}" for s, d in zip(SOURCE_COLUMNS[kind], LISTING_COLUMNS))
+    cols = ", ".join(f"{s} AS {d}" for s, d in SOURCE_NAMES[kind].items())
     return f"SELECT id AS rid, {cols}, 0 AS invalid FROM {source}"
 
 
@@ -69,8 +83,8 @@ ALIGNED = BASE + f""",
 aa AS ({_align('va', 'vehicles')}),
 ab AS ({_align('vb', 'used_cars')})"""
 MARKED = ALIGNED + f""",
-mi AS (SELECT * REPLACE (coalesce(vin, '') AS vin, CAST({LENGTH_BAD} OR {CHARSET_BAD} OR {YEAR_BAD} AS INT) AS invalid) FROM aa),
-ma AS (SELECT * REPLACE (CASE WHEN vin IN (SELECT vin FROM mi WHERE vin IS NOT NULL GROUP BY vin HAVING count(*) > 1) THEN 1 ELSE invalid END AS invalid) FROM mi)"""
+mi AS (SELECT * REPLACE (CAST({LENGTH_BAD} OR {CHARSET_BAD} OR {YEAR_BAD} AS INT) AS invalid) FROM aa),
+ma AS (SELECT * REPLACE (CASE WHEN vin IN (SELECT vin FROM mi WHERE vin <> '' GROUP BY vin HAVING count(*) > 1) THEN 1 ELSE invalid END AS invalid) FROM mi)"""
 PREPARED = MARKED + f""",
 pa AS MATERIALIZED (SELECT {normalized(_NUMERIC)} FROM (SELECT {normalized()} FROM ma)),
 pb AS MATERIALIZED (SELECT {normalized(_NUMERIC)} FROM (SELECT {normalized()} FROM ab))"""
@@ -78,7 +92,7 @@ pb AS MATERIALIZED (SELECT {normalized(_NUMERIC)} FROM (SELECT {normalized()} FR
 
 def _labelled(name: str, a: str, b: str) -> str:
     cols = ", ".join(f"{s}.{f} AS {s}_{f}" for s in "ab" for f in FIELDS)
-    return (f"{name} AS MATERIALIZED (SELECT a_id * {PAIR_RID} + b_id AS rid, a_id, b_id, {cols}, match "
+    return (f"{name} AS MATERIALIZED (SELECT CAST(a_id AS VARCHAR) || '-' || CAST(b_id AS VARCHAR) AS rid, a_id, b_id, {cols}, match "
             f"FROM vt JOIN {a} a ON a.rid = a_id JOIN {b} b ON b.rid = b_id)")
 
 
@@ -184,11 +198,11 @@ def prf(source: str, weight: str = "1", predicted: str = "predicted", actual: st
 
 
 def record_text(s: str) -> str:
-    part = lambda f: f"'COL {f} VAL ' || translate(trim(coalesce({s}_{f}, '')), chr(9) || chr(10), '  ')"
+    part = lambda f: f"'COL {f} VAL ' || translate({strip(f"coalesce({s}_{f}, '')")}, chr(9) || chr(10), '  ')"
     return " || ' ' || ".join(part(f) for f in FIELDS)
 
 
-PAIR_TEXT = f"{record_text('a')} || chr(9) || {record_text('b')} || chr(9) || trim(coalesce(CAST(match AS VARCHAR), ''))"
+PAIR_TEXT = f"{record_text('a')} || chr(9) || {record_text('b')} || chr(9) || {strip("coalesce(CAST(match AS VARCHAR), '')")}"
 
 
 def length_prefixed_md5(*cols: str) -> str:

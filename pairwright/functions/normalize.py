@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pairwright.functions.values import strip
+
 # Rewrites of single categories.
 FUEL_RENAMES = {"gas": "gasoline"}
 TRANSMISSION_RENAMES = {
@@ -33,7 +35,7 @@ def manufacturer(c: Column) -> Column:
 
 
 def fuel_type(c: Column) -> Column:
-    return renamed(F.lower(F.trim(c)), FUEL_RENAMES)
+    return renamed(F.lower(strip(c)), FUEL_RENAMES)
 
 
 def model(c: Column) -> Column:
@@ -70,7 +72,7 @@ def color(c: Column) -> Column:
 
 def block_fuel(c: Column) -> Column:
     """Fuel category for blocking: near-equal fuels share a key."""
-    return renamed(F.lower(F.trim(c)), BLOCK_FUEL_RENAMES)
+    return renamed(F.lower(strip(c)), BLOCK_FUEL_RENAMES)
 
 
 NORMALIZERS = {

@@ -40,8 +40,10 @@ def model_score(a: Column, b: Column, max_score: float = 0.5) -> Column:
 
 
 def mileage_score(a: Column, b: Column, max_score: float = 0.1, max_diff: int = 50000) -> Column:
-    diff = F.abs(whole_number(a) - whole_number(b))
-    return F.when(diff <= max_diff, F.lit(max_score) * (1 - diff / F.lit(float(max_diff)))).otherwise(0.0)
+    x, y = whole_number(a), whole_number(b)
+    # A difference beyond 64 bits is null, and so scores 0.
+    diff = F.try_subtract(F.greatest(x, y), F.least(x, y))
+    return F.when(x.isNotNull() & y.isNotNull() & (diff <= max_diff), F.lit(max_score) * (1 - diff / F.lit(float(max_diff)))).otherwise(0.0)
 
 
 def _category_score(a: Column, b: Column, max_score: float, near: list[tuple[str, str]],

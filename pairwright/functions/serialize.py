@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pairwright.functions.values import blank_if_null
+from pairwright.functions.values import blank_if_null, strip
 
 
 def row_fingerprint(columns: Sequence[Column]) -> Column:
@@ -28,7 +28,7 @@ def group_fingerprint(columns: Sequence[Column]) -> Column:
 def record_text(side: Callable[[str], Column], fields: Sequence[str]) -> Column:
     """``COL <field> VAL <value>`` for each field, separated by a space."""
     return F.concat_ws(" ", *[
-        F.concat(F.lit(f"COL {f} VAL "), F.translate(F.trim(blank_if_null(side(f).cast("string"))), "\t\n", "  "))
+        F.concat(F.lit(f"COL {f} VAL "), F.translate(strip(blank_if_null(side(f).cast("string"))), "\t\n", "  "))
         for f in fields])
 
 
@@ -36,4 +36,4 @@ def pair_text(side_a: Callable[[str], Column], side_b: Callable[[str], Column],
               label: Column, fields: Sequence[str]) -> Column:
     """``left<TAB>right<TAB>label``."""
     return F.concat_ws("\t", record_text(side_a, fields), record_text(side_b, fields),
-                       F.trim(blank_if_null(label.cast("string"))))
+                       strip(blank_if_null(label.cast("string"))))

@@ -12,9 +12,13 @@ NULL_TOKENS = (
     "nan", "null",
 )
 
+# What surrounds a text without being part of it (Unicode white
+# space and the information separators).
+BLANKS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+
 # A plain decimal number. The guard keeps out texts such as "12d", which
 # Spark's own cast would accept.
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMBER_PATTERN = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 
 def null_if_token(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
@@ -22,9 +26,15 @@ def null_if_token(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, rf"\A{BLANKS}+|{BLANKS}+\z", "")
+
+
 def number(c: Column) -> Column:
     """Double for a plain decimal number, else null."""
-    return F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double"))
+    bare = strip(c)
+    return F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
 
 
 def number_with_commas(c: Column) -> Column:
@@ -38,8 +48,8 @@ def whole_number(c: Column) -> Column:
 
 
 def whole_number_text(c: Column) -> Column:
-    """'2018.0' -> '2018'; texts that are no number are only trimmed."""
-    return F.coalesce(whole_number(c).cast("string"), F.trim(c))
+    """'2018.0' -> '2018'; texts that are no number are only stripped."""
+    return F.coalesce(whole_number(c).cast("string"), strip(c))
 
 
 def blank_if_null(c: Column) -> Column:
@@ -48,5 +58,5 @@ def blank_if_null(c: Column) -> Column:
 
 
 def null_if_blank(c: Column) -> Column:
-    """'' or spaces -> null."""
-    return F.when(F.trim(c) != "", c)
+    """'' or white space -> null."""
+    return F.when(strip(c) != "", c)

@@ -103,7 +103,7 @@ def candidates_right_join(candidates: DataFrame, test: DataFrame) -> DataFrame:
     copies = pairs_to_prefixed(candidates).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("_copies"))
     same = reduce(and_, [test[k].eqNullSafe(copies[k]) for k in PAIR_KEY])
     label = F.coalesce(test["match"].cast("string"), F.lit("0")).alias("match")
-    times = F.sequence(F.lit(1), F.coalesce(copies["_copies"], F.lit(1)).cast("int"))
+    times = F.sequence(F.lit(1), F.coalesce(copies["_copies"], F.lit(1)))
     return test.join(copies, same, "left").select(
         *[test[k] for k in PAIR_KEY], label, F.explode(times).alias("_copy")).drop("_copy")
 

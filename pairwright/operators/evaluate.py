@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pairwright.functions.scoring import MATCH_THRESHOLD
 from pairwright.operators.blocking import candidate_count, dense_block_index
 from pairwright.operators.candidates import linkage_table
-from pairwright.plans.rank import range_bucket, running_totals
+from pairwright.plans.rank import in_range_buckets, running_totals
 from pairwright.plans.skew import ROWS_PER_CELL, skew_join
 
 PAIR = ["a_id", "b_id"]
@@ -85,8 +85,8 @@ def labelled_pair_ids(labelled: DataFrame, valid_a: DataFrame, valid_b: DataFram
 
 def positional_ids(df: DataFrame, rid: str = "rid") -> DataFrame:
     """``A_i``, ``B_i`` for the i-th row (from 0) in the order of its key."""
-    keys = df.select(F.col(rid).alias("rid"))
-    at = running_totals(keys, range_bucket(keys, "rid"), [F.col("rid")], {"position": F.lit(1).cast("bigint")})
+    keys = in_range_buckets(df.select(F.col(rid).alias("rid")), "rid")
+    at = running_totals(keys, F.col("_range"), [F.col("rid")], {"position": F.lit(1).cast("bigint")})
     name = lambda s: F.concat(F.lit(s), (F.col("position") - 1).cast("string"))
     return at.select(name("A_").alias("a_id"), name("B_").alias("b_id"))
 

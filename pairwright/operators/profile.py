@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.functions.values import number
+from pairwright.functions.values import number, strip
 
 
 def value_table(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -75,7 +75,7 @@ def unique_vin_summary(df: DataFrame) -> DataFrame:
 
 
 def vin_counts(df: DataFrame) -> DataFrame:
-    return df.filter(F.trim("vin") != "").groupBy("vin").agg(F.count(F.lit(1)).alias("n"))
+    return df.filter(strip(F.col("vin")) != "").groupBy("vin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

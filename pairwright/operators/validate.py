@@ -16,11 +16,11 @@ def _flags() -> dict:
 
 
 def mark_invalid_vin(df: DataFrame) -> DataFrame:
-    """Reset ``invalid`` to 0, then 1 where a VIN check fails; null VIN -> ''."""
+    """Reset ``invalid`` to 0, then 1 where a VIN check fails; a null VIN stays null."""
     require(df, "vin", "year")
     f = _flags()
     bad = f["length"] | f["charset"] | f["year_code"]
-    return df.withColumns({"invalid": bad.cast("int"), "vin": F.coalesce(F.col("vin"), F.lit(""))})
+    return df.withColumn("invalid", bad.cast("int"))
 
 
 def vin_error_summary(df: DataFrame) -> DataFrame:
@@ -36,10 +36,11 @@ def _with_repeats(df: DataFrame) -> DataFrame:
     require(df, "vin")
     if "invalid" not in df.columns:
         df = df.withColumn("invalid", F.lit(0))
+    # A missing VIN, null or '', repeats nothing.
     # Counting merges a hot VIN before the shuffle; a window over the VIN
     # would gather all its rows in one task. The optimizer splits the hot
     # partition of the join, since the other side has one row per VIN.
-    repeated = (df.filter(F.col("vin").isNotNull()).groupBy("vin").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = (df.filter(F.col("vin") != "").groupBy("vin").agg(F.count(F.lit(1)).alias("_n"))
                 .filter("_n > 1").select(F.col("vin").alias("_vin")))
     return df.join(repeated, df["vin"] == repeated["_vin"], "left")
 

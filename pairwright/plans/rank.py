@@ -11,10 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairwright.plans.storage import materialize
+
 # Hex digits of an MD5 used as a bucket: at most 65,536 buckets.
 BUCKET_DIGITS = 4
-# Limits of a range bucket are compared one by one, so there are fewer.
-RANGE_BUCKETS = 256
+# Rows of a range that one task orders.
+ROWS_PER_RANGE = 200_000
 
 
 def md5_order(seed: object, *ids: Column) -> Column:
@@ -27,8 +29,9 @@ def running_totals(df: DataFrame, bucket: Column, order: Sequence[Column],
     """Add, for each ``name: value``, the sum of ``value`` over all rows up to
     and including this one in the order (bucket, *order).
 
-    The table of bucket sums has one row per bucket; callers keep the number
-    of buckets bounded, so it can be broadcast.
+    The table of bucket sums has one row per bucket, that is at most 65,536 for
+    hash buckets and one for each ROWS_PER_RANGE rows for ranges; the
+    optimizer broadcasts it where its size allows.
     """
     names = list(totals)
     values = df.select("*", bucket.alias("_bucket"), *[v.alias("_v_" + n) for n, v in totals.items()])
@@ -37,7 +40,7 @@ def running_totals(df: DataFrame, bucket: Column, order: Sequence[Column],
     offsets = sums.select("_bucket", *[
         F.coalesce(F.sum("_s_" + n).over(before), F.lit(0)).alias("_o_" + n) for n in names])
     inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return values.join(F.broadcast(offsets), "_bucket").select(
+    return values.join(offsets, "_bucket").select(
         *df.columns,
         *[(F.col("_o_" + n) + F.sum("_v_" + n).over(inside)).alias(n) for n in names])
 
@@ -55,15 +58,12 @@ def exact_rank(df: DataFrame, order_key: Column, ties: Sequence[str], name: str
     return ranked.drop("_key")
 
 
-def range_bucket(df: DataFrame, column: str, buckets: int = RANGE_BUCKETS) -> Column:
-    """Order-preserving bucket number of a numeric column.
+def in_range_buckets(df: DataFrame, *order: str) -> DataFrame:
+    """Write ``df`` in ranges of ``order``, and add ``_range``, the number of its range.
 
-    The limits are approximate quantiles: a bounded list of numbers, so it is
-    safe to hold on the driver whatever the table's size.
+    The number of ranges follows the number of rows; a range is one task's
+    part, and ranges ascend with the order. Equal keys share a range.
     """
-    marks = df.approxQuantile(column, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
-    limits = sorted(set(marks))
-    if not limits:
-        return F.lit(0)
-    array = F.array(*[F.lit(float(x)) for x in limits])
-    return F.size(F.filter(array, lambda x: x < F.col(column).cast("double")))
+    ranges = max(1, -(-df.count() // ROWS_PER_RANGE))
+    dealt = df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+    return materialize(dealt, "ranges")

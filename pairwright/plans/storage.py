@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every node can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own.
+    Only a session in one process (``local`` or ``local[...]``) without the
+    setting gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pairwright-"))
     return spark.sparkContext.getCheckpointDir()
