@@ -27,8 +27,8 @@ va AS (SELECT k AS id,
   CASE WHEN k % 4 = 0 THEN upper(nm) WHEN k % 4 = 1 THEN concat(nm, ' lx') ELSE nm END AS model,
   CASE WHEN k % 59 = 0 THEN NULL WHEN k % 11 = 0 THEN concat(CAST(y AS STRING), '.0') ELSE CAST(y AS STRING) END AS year,
   CASE WHEN k % 13 = 0 THEN NULL WHEN k % 47 = 0 THEN chr(160) || CAST(odo AS STRING) || ' ' ELSE CAST(odo AS STRING) END AS odometer,
-  CASE WHEN k % 19 = 0 THEN chr(9) || nullif(split_part('gas,diesel,hybrid,other,electric,', ',', CAST(vk % 6 + 1 AS INT)), '') || chr(160) ELSE nullif(split_part('gas,diesel,hybrid,other,electric,', ',', CAST(vk % 6 + 1 AS INT)), '') END AS fuel,
-  nullif(split_part('automatic,manual,other,', ',', CAST(vk % 4 + 1 AS INT)), '') AS transmission,
+  CASE WHEN k % 19 = 0 THEN chr(9) || nullif(split_part('gas,diesel,hybrid,other,electric,', ',', CAST(floor(vk / 30) % 6 + 1 AS INT)), '') || chr(160) ELSE nullif(split_part('gas,diesel,hybrid,other,electric,', ',', CAST(floor(vk / 30) % 6 + 1 AS INT)), '') END AS fuel,
+  nullif(split_part('automatic,manual,other,', ',', CAST(floor(vk / 180) % 4 + 1 AS INT)), '') AS transmission,
   nullif(split_part('SUV,truck,pickup,offroad,mini-van,other,', ',', CAST(vk % 7 + 1 AS INT)), '') AS type,
   nullif(split_part('4 cylinders,6 cylinders,8 cylinders,other,2 cylinders,', ',', CAST(vk % 6 + 1 AS INT)), '') AS cylinders,
   nullif(split_part('4wd,fwd,rwd,', ',', CAST(vk % 4 + 1 AS INT)), '') AS drive,
@@ -39,8 +39,8 @@ vb AS (SELECT k AS id,
   CASE WHEN k % 51 = 0 THEN NULL ELSE replace(br, '#', ' ') END AS make_name,
   CASE WHEN k % 2 = 0 THEN nm ELSE concat(nm, ' ex') END AS model_name, CAST(y AS STRING) AS year,
   CASE WHEN k % 39 = 0 THEN NULL ELSE concat(CAST(odo + (k % 5) * 7000 AS STRING), '.0') END AS mileage,
-  nullif(split_part('Gasoline,Biodiesel,Hybrid,Flex Fuel Vehicle,Propane,', ',', CAST(vk % 6 + 1 AS INT)), '') AS fuel_type,
-  nullif(split_part('A,M,CVT,Dual Clutch', ',', CAST(vk % 4 + 1 AS INT)), '') AS transmission,
+  nullif(split_part('Gasoline,Biodiesel,Hybrid,Flex Fuel Vehicle,Propane,', ',', CAST(floor(vk / 30) % 6 + 1 AS INT)), '') AS fuel_type,
+  nullif(split_part('A,M,CVT,Dual Clutch', ',', CAST(floor(vk / 180) % 4 + 1 AS INT)), '') AS transmission,
   nullif(split_part('SUV / Crossover,Pickup Truck,Pickup Truck,SUV / Crossover,Minivan,Sedan,', ',', CAST(vk % 7 + 1 AS INT)), '') AS body_type,
   nullif(split_part('I4,V6,V8,H6,I2,', ',', CAST(vk % 6 + 1 AS INT)), '') AS engine_cylinders,
   CASE WHEN k % 17 = 0 THEN chr(9) || 'AWD' || chr(9) ELSE nullif(split_part('AWD,4X2,RWD,FWD', ',', CAST(vk % 4 + 1 AS INT)), '') END AS wheel_system,
