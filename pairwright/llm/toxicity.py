@@ -73,7 +73,7 @@ def _ngrams(words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.nd
         for n in range(1, ORDER + 1):
             if n > 1:  # the letter n-1 places back joins the context
                 back = np.zeros(len(codes), np.uint64)
-                back[n - 1:] = codes[:len(codes) - n + 1]
+                back[n - 1:] = codes[:max(0, len(codes) - n + 1)]
                 power = power * _MIX
                 before = before + back * power
             inside = (at >= n - 1) & (at > 0)
