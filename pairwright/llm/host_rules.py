@@ -79,10 +79,11 @@ def host_verdicts(judged: DataFrame, max_rate: float = HOST_FAIL_RATE) -> DataFr
     The prior's mean is the share of all documents that fail, its strength
     comes from the hosts' spread (method of moments, a host weighs by its
     documents): strength = m (1 - m) / v - 1, where v is the spread
-    beyond what binomial chance gives, but at least 1e-6 of m (1 - m). A host with few
-    documents is so drawn to the common rate. A null host is a host of its own.
+    beyond what binomial chance gives, but at least 1e-6 of m (1 - m); it is one
+    document at least. A host with few documents is so drawn to the common
+    rate. A null host is a host of its own.
     """
-    hosts = judged.groupBy("host").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
+    hosts = materialize(judged.groupBy("host").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("base_failed").cast("long")).alias("failed")), "hosts")
     totals = hosts.agg(F.sum("docs").alias("_n"), F.sum("failed").alias("_f"), F.count(F.lit(1)).alias("_hosts"),
                        F.sum(F.col("failed") * F.col("failed") / F.col("docs")).alias("_ff"),
                        F.sum(F.col("docs") * F.col("docs")).cast("double").alias("_nn"))
@@ -92,10 +93,10 @@ def host_verdicts(judged: DataFrame, max_rate: float = HOST_FAIL_RATE) -> DataFr
     spread = (between - (F.col("_hosts") - 1) * mean * (1 - mean)) / F.greatest(F.col("_n") - F.col("_nn") / F.col("_n"), F.lit(1.0))
     chance = mean * (1 - mean)
     strength = F.when(chance > 0, chance / F.greatest(spread, chance * 1e-6) - 1).otherwise(F.lit(1.0))
-    prior = totals.select(mean.alias("_mean"), F.greatest(strength, F.lit(0.0)).alias("_strength"))
-    rate = (F.col("failed") + F.col("_mean") * F.col("_strength")) / (F.col("docs") + F.col("_strength"))
-    rated = hosts.join(F.broadcast(prior))  # the prior is one row of two numbers
-    return rated.select("host", "docs", "failed", rate.alias("host_rate"), (rate > max_rate).alias("host_failed"))
+    prior = totals.select(mean.alias("mean"), F.greatest(strength, F.lit(1.0)).alias("strength")).first()  # two numbers
+    weight = prior["strength"] or 1.0
+    rate = (F.col("failed") + F.lit((prior["mean"] or 0.0) * weight)) / (F.col("docs") + F.lit(weight))
+    return hosts.select("host", "docs", "failed", rate.alias("host_rate"), (rate > max_rate).alias("host_failed"))
 
 
 def judge(docs: DataFrame, max_rate: float = HOST_FAIL_RATE, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:

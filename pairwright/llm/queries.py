@@ -88,7 +88,7 @@ j AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 h AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(base_failed AS INT)) AS DOUBLE) AS f FROM j GROUP BY host),
 a AS (SELECT sum(n) AS n, sum(f) AS f, count(*) AS k, sum(f * f / n) AS ff, sum(n * n) AS nn FROM h),
 m AS (SELECT f / n AS m, f / n * (1 - f / n) AS ch, (ff - f * (f / n) - (k - 1) * (f / n) * (1 - f / n)) / greatest(n - nn / n, 1) AS sp FROM a),
-p AS (SELECT m, CASE WHEN ch > 0 THEN greatest(ch / greatest(sp, ch * 1e-6) - 1, 0) ELSE 1 END AS st FROM m),
+p AS (SELECT m, CASE WHEN ch > 0 THEN greatest(ch / greatest(sp, ch * 1e-6) - 1, 1) ELSE 1 END AS st FROM m),
 v AS (SELECT host, (f + m * st) / (n + st) AS host_rate FROM h, p)
 SELECT doc_id, j.host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(host_rate, 9) AS host_rate,
   NOT base_failed AND NOT host_rate > 0.5 AS kept
