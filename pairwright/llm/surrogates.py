@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from pairwright.llm.common import materialize
 
+# Fixed value: what stands before a secret; it belongs to the match, and stays as it is.
+ASSIGNED = r"(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key) {0,3}[=:] {0,3}[\"']?"
 # What each type looks like, in the order in which they are tried.
 PATTERNS = (
-    ("email", r"[\p{L}\p{N}._%+'-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"),
+    ("email", r"(?<![\p{L}\p{N}._%+'-])[\p{L}\p{N}._%+'-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"),
     ("secret", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[0-9A-Za-z]{36,}\b|\bsk-[0-9A-Za-z]{20,}\b|\bxox[abprs]-[0-9A-Za-z-]{10,}\b"
-               r"|(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key)[ ]{0,3}[=:][ ]{0,3}[\"']?)[^\s\"',;]{6,}"),
+               rf"|(?<!\p{{L}}){ASSIGNED}[^\s\"',;]{{6,}}"),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?\b"),
     ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d)"),
@@ -47,7 +49,8 @@ MAX_ATTEMPTS = 20
 ANY = "|".join(f"({p})" for _, p in PATTERNS)
 TYPES = [t for t, _ in PATTERNS]
 # A text without any of these signs holds no entity; most texts are spared the full pattern.
-HINT = r"[0-9@]|[A-Z]\p{L}{0,6}\.? \p{Lu}|(?i:password|passwd|pwd|secret|token|api.?key)|госпо"
+TITLES = r"\b(?:Mrs?|Ms|Miss|Mme|Mlle|M\.|Herr|Frau|Sra?|Señora?|Doña|Don|Dr|Prof)\.?[ ]\p{Lu}|госпо"
+HINT = rf"[0-9@]|{TITLES}|{ASSIGNED}"
 
 
 def entity_type(entity: Column) -> Column:
@@ -62,7 +65,7 @@ def entity_type(entity: Column) -> Column:
 def normal_form(kind: Column, entity: Column) -> Column:
     """What mentions of one entity have in common: digits of numbers, lower case of addresses and names."""
     digits = F.regexp_replace(entity, r"[^0-9+]", "")
-    return (F.when(kind.isin("card", "ssn", "phone"), digits).when(kind == "iban", F.upper(F.regexp_replace(entity, " ", "")))
+    return (F.when(kind == "secret", F.regexp_replace(entity, f"^{ASSIGNED}", "")).when(kind.isin("card", "ssn", "phone"), digits).when(kind == "iban", F.upper(F.regexp_replace(entity, " ", "")))
             .when(kind.isin("email", "person"), F.lower(entity)).otherwise(entity))
 
 
@@ -137,8 +140,9 @@ def surrogate(kind: Column, entity: Column, seed: Column) -> Column:
     digits = F.regexp_replace(entity, r"[^0-9]", "")
     card = _body(F.concat(F.substr(digits, F.lit(1), F.lit(1)), _redrawn(F.substr(digits, F.lit(2)), seed)))
     card = F.concat(card, _luhn(card))
-    kept = F.regexp_extract(entity, r"^(AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-)", 1)
-    rest = F.substr(entity, F.length(kept) + 1)
+    bare = F.regexp_replace(entity, f"^{ASSIGNED}", "")
+    kept = F.regexp_extract(bare, r"^(AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-)", 1)
+    rest = F.substr(bare, F.length(kept) + 1)
     secret = F.concat(kept, F.when(rest.rlike("^[0-9a-f]+$"), _hex_redrawn(rest, seed)).otherwise(_redrawn(rest, seed)))
     country = F.regexp_extract(entity, r"^(\+\d{1,3}?(?=[ .(-])|\+\d)", 1)
     phone = F.concat(country, _redrawn(F.regexp_replace(F.substr(entity, F.length(country) + 1), r"[^0-9]", ""), seed))
@@ -159,12 +163,13 @@ def in_format_of(kind: Column, mention: Column, made: Column) -> Column:
         lambda st, ch: F.when(ch == " ", F.struct(F.concat(st["s"], ch).alias("s"), st["i"].alias("i")))
         .otherwise(F.struct(F.concat(st["s"], F.substr(made, st["i"], F.lit(1))).alias("s"), (st["i"] + 1).alias("i"))), lambda st: st["s"])
     titled = F.concat(F.regexp_extract(mention, r"^(\S+ )", 1), F.regexp_extract(made, r"^\S+ (.*)$", 1))
-    return F.when(kind.isin("card", "ssn", "phone"), laid).when(kind == "iban", grouped).when(kind == "person", titled).otherwise(made)
+    assigned = F.concat(F.regexp_extract(mention, f"^{ASSIGNED}", 0), made)
+    return F.when(kind == "secret", assigned).when(kind.isin("card", "ssn", "phone"), laid).when(kind == "iban", grouped).when(kind == "person", titled).otherwise(made)
 
 
 def _drawn(entities: DataFrame, key: str, attempt: int) -> DataFrame:
     seed = F.sha2(F.concat_ws("|", F.lit(key), "kind", "form", F.lit(str(attempt))), 256)
-    return entities.withColumn("made", surrogate(F.col("kind"), F.col("mention"), seed)).withColumn("made_form", normal_form(F.col("kind"), F.col("made")))
+    return entities.withColumn("made", surrogate(F.col("kind"), F.col("mention"), seed))
 
 
 def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -177,7 +182,8 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     taken, todo = None, materialize(entities, "pii-entities")
     own = todo.select("kind", F.col("form").alias("made_form"))
     for attempt in range(MAX_ATTEMPTS):
-        drawn = materialize(_drawn(todo, key, attempt), "pii-drawn")
+        # Written first: the surrogate is a long expression, and its form refers to it often.
+        drawn = materialize(_drawn(todo, key, attempt), "pii-drawn").withColumn("made_form", normal_form(F.col("kind"), F.col("made")))
         free = drawn.join(own, ["kind", "made_form"], "left_anti")
         if taken is not None:
             free = free.join(taken.select("kind", "made_form"), ["kind", "made_form"], "left_anti")
@@ -202,8 +208,9 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text:
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     found = F.when(whole.rlike(HINT), F.regexp_extract_all(whole, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = materialize(docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), found.alias("_found")).filter(F.size("_found") > 0)
-                       .withColumn("_row", F.monotonically_increasing_id()), "pii-rows")
+    every = materialize(docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), found.alias("_found"))
+                        .withColumn("_row", F.monotonically_increasing_id()), "pii-rows")  # so that texts are scanned once
+    rows = every.filter(F.size("_found") > 0)
     listed = rows.select("_row", F.explode(F.array_distinct("_found")).alias("mention")).withColumn("kind", entity_type(F.col("mention")))
     listed = listed.withColumn("form", normal_form(F.col("kind"), F.col("mention"))).filter(is_entity(F.col("kind"), F.col("form")))
     listed = materialize(listed, "pii-mentions")
@@ -219,6 +226,6 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text:
     changed = rows.join(maps, "_row", "left").select(
         "doc_id", F.when(F.col("_map").isNull(), F.col("text")).otherwise(F.array_join(put, "")).alias("text"),
         F.when(F.col("_map").isNull(), F.lit(0).cast("long")).otherwise(known).alias("n_entities"), F.coalesce("types", none).alias("types"))
-    plain = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), found.alias("_found")).filter(F.size("_found") == 0).select(
+    plain = every.filter(F.size("_found") == 0).select(
         "doc_id", "text", F.lit(0).cast("long").alias("n_entities"), none.alias("types"))
     return changed.unionByName(plain)
