@@ -69,6 +69,17 @@ def per_text(ufunc: np.ufunc, values: np.ndarray, ends: np.ndarray, empty: float
     return out
 
 
+_KEPT: list = [None, None]
+
+
+def kept_in_worker(owner: object, make):
+    """What a worker process keeps for later tasks of ``owner``. It keeps one thing only: another owner's is dropped."""
+    if _KEPT[0] != owner:
+        _KEPT[:] = [None, None]
+        _KEPT[:] = [owner, make()]
+    return _KEPT[1]
+
+
 def crc_fold(key: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -25,16 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairwright.llm.common import encode_words, slices, split_words
+from pairwright.llm.common import encode_words, kept_in_worker, slices, split_words
 from pairwright.plans.storage import new_path
 
 FORMAT = ("shard int, block int, first long, n_ids long, bits int, doc_ids array<long>, doc_ends array<long>, payload binary")
 # A block is closed when it holds this many ids; one document is never cut.
 IDS_PER_BLOCK = 65_536
 # Distinct runs of letters whose ids a worker remembers.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 400_000
 # Text encoded at once; a larger part has fewer distinct words for its size.
-TEXT_AT_ONCE = 8_000_000
+TEXT_AT_ONCE = 6_000_000
 # Closing marks that the tokenizer splits from letters.
 MARKS = ".,!?;:"
 # The sign by which the vocabulary marks the last piece of a word.
@@ -134,14 +134,9 @@ class WordEncoder:
         return flat[places], id_ends[word_ends]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    """One encoder for all tasks of a worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """One encoder for the tasks of a worker process."""
+    return kept_in_worker(("encoder", path), lambda: WordEncoder(path))
 
 
 def _writer(path: str, end_id: int, ids_per_block: int):
