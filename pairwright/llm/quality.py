@@ -141,19 +141,22 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
 
-def fit_network(x: np.ndarray, y: np.ndarray, share: np.ndarray, seed: int = 3) -> Network:
+def fit_network(x: np.ndarray, y: np.ndarray, share: np.ndarray, weight: np.ndarray | None = None, seed: int = 3) -> Network:
     """Full-batch Adam on a balanced log loss; ``share`` marks rows kept for the temperature.
 
-    The temperature minimises the plain log loss of the kept rows, with the
-    balance taken back as a shift of the output, so scores are probabilities.
+    The temperature minimises the log loss of the kept rows, each as often as
+    its ``weight`` says, with the balance taken back to the weighted one as a
+    shift of the output, so scores are probabilities.
     """
+    represents = np.ones(len(y)) if weight is None else weight
+    good, bad = (represents * y).sum(), (represents * (1 - y)).sum()
     random = np.random.default_rng(seed)
     net = Network(x.mean(axis=0) if len(x) else np.zeros(N_FEATURES), x.std(axis=0) + 1e-6 if len(x) else np.ones(N_FEATURES),
                   random.normal(0, 1 / np.sqrt(N_FEATURES), (N_FEATURES, HIDDEN)), np.zeros(HIDDEN), random.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), 0.0)
     rows = ~share
     if not rows.any() or y[rows].min() == y[rows].max():
         net.w2[:] = 0
-        net.b2 = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
+        net.b2 = float(np.log((good + 0.5) / (bad + 0.5)))
         return net
     z, t = (x[rows] - net.mean) / net.scale, y[rows]
     weight = np.where(t == 1, 0.5 / t.mean(), 0.5 / (1 - t.mean())) / len(t)
@@ -171,11 +174,11 @@ def fit_network(x: np.ndarray, y: np.ndarray, share: np.ndarray, seed: int = 3)
             values[k] = values[k] - RATE * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
     net.w1, net.b1, net.w2, net.b2 = values[0], values[1], values[2], float(values[3])
     kept = share if share.any() else rows
-    shift, out, t = float(np.log(y.mean() / (1 - y.mean()))), net.logits(x[kept]), y[kept]
-    net.b2 += shift
+    shift, out, t = float(np.log(good / bad)), net.logits(x[kept]), y[kept]
     grid = np.exp(np.linspace(np.log(0.25), np.log(20), 200))
-    losses = [np.mean(np.logaddexp(0, -(2 * t - 1) * (out + shift) / g)) for g in grid]
+    losses = [np.average(np.logaddexp(0, -(2 * t - 1) * (out / g + shift)), weights=represents[kept]) for g in grid]
     net.temperature = float(grid[int(np.argmin(losses))])
+    net.b2 += shift * net.temperature  # the temperature flattens what the network says, not the balance
     return net
 
 
@@ -184,7 +187,7 @@ def _features(shared):
         vectors, terms = shared.value, Terms()
         for batch in slices(batches, "text"):
             x = pooled(batch.column(0), vectors, terms)
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int32())], ["x", "half", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int32()), batch.column(3)], ["x", "half", "y", "weight"])
     return make
 
 
@@ -198,19 +201,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: int
     """Word vectors from all texts; the network from labelled documents whose crc32 fold is not 0.
 
     At most ``limit`` of each class are used, so what comes to the driver is
-    bounded; a quarter of them serves the temperature alone. Documents with
-    another label than the sample's class balance keep their odds: the sample
-    takes all of the smaller class, and the balance of the sample is undone.
+    bounded; a quarter of them serves the temperature alone. The balance of the
+    sample is undone: a document of it stands for all labels of its class that
+    it was drawn from, so scores have the odds of all labels.
     """
     spark = docs.sparkSession
     vectors = word_vectors(docs)
     sample = materialize(labelled_sample(docs, labels, label, fold, limit), "quality-sample")
     shared = spark.sparkContext.broadcast(vectors)
-    found = sample.mapInArrow(_features(shared), "x array<double>, half int, y int").toPandas()
+    found = sample.mapInArrow(_features(shared), "x array<double>, half int, y int, weight double").toPandas()
     x = np.array(found["x"].tolist(), np.float64).reshape(-1, N_FEATURES)
     order = np.lexsort(np.round(x[:, ::-1], 6).T) if len(x) else np.zeros(0, int)  # the order of rows must not depend on tasks
-    x, y = x[order], found["y"].to_numpy(np.float64)[order]
-    return Quality(vectors, fit_network(x, y, np.arange(len(x)) % 4 == 3))
+    x, y, weight = (v[order] for v in (x, found["y"].to_numpy(np.float64), found["weight"].to_numpy(np.float64)))
+    return Quality(vectors, fit_network(x, y, np.arange(len(x)) % 4 == 3, weight))
 
 
 def _scorer(shared):

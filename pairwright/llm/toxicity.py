@@ -212,17 +212,22 @@ class Toxicity:
         return 1.0 / (1.0 + np.exp(-z))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
-    """Newton's method; intercept first. Without both classes the intercept alone."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
+    """Newton's method; intercept first. Without both classes the intercept alone.
+
+    With the ``weight`` of each row the mean score is the weighted rate of ``y``.
+    """
+    weight = np.ones(len(y)) if weight is None else weight
     if not len(y) or y.min() == y.max():
-        rate = (y.sum() + 0.5) / (len(y) + 1)
+        rate = ((weight * y).sum() + 0.5) / (weight.sum() + 1)
         return np.concatenate(([np.log(rate / (1 - rate))], np.zeros(x.shape[1])))
     a = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+    weight = weight / weight.mean()
     w, keep = np.zeros(a.shape[1]), ridge * len(y) * np.eye(a.shape[1])
     keep[0, 0] = 1e-9
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + keep, a.T @ (p - y) + keep @ w)
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + keep, a.T @ (weight * (p - y)) + keep @ w)
         w = w - step
         if np.abs(step).max() < 1e-9:
             break
@@ -267,13 +272,17 @@ def _count_ngrams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(text, half, y) of labelled documents outside fold 0 of crc32: at most ``limit`` of each class, those with the smallest hashes."""
+    """(text, half, y, weight) of labelled documents outside fold 0 of crc32: at most ``limit`` of each class, those with the smallest hashes.
+
+    ``weight`` is how many labels of its class a chosen one stands for, so weighted rates are those of all labels.
+    """
     marked = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_id")).agg((F.max(label) > 0).cast("int").alias("y"))
     known = marked.filter(crc_fold("_id", fold) != 0).withColumn("_h", F.xxhash64("_id", F.lit(7)))
-    parts = [known.filter(F.col("y") == y).orderBy("_h", "_id").limit(limit) for y in (0, 1)]
-    chosen = materialize(parts[0].unionByName(parts[1]), "labelled")  # at most 2 * limit rows of three numbers
+    totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    parts = [known.filter(F.col("y") == y).orderBy("_h", "_id").limit(limit).withColumn("weight", F.lit(max(1.0, totals.get(y, 0) / limit))) for y in (0, 1)]
+    chosen = materialize(parts[0].unionByName(parts[1]), "labelled")  # at most 2 * limit rows of four numbers
     rows = docs.select(F.col(key).alias("_doc"), F.col(text).alias("text"))
-    return rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", F.pmod("_h", F.lit(2)).cast("int").alias("half"), "y")
+    return rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", F.pmod("_h", F.lit(2)).cast("int").alias("half"), "y", "weight")
 
 
 def _features(model_pair: tuple[KneserNey, KneserNey]):
@@ -286,7 +295,7 @@ def _features(model_pair: tuple[KneserNey, KneserNey]):
                 rows = np.flatnonzero(half == h)
                 if len(rows):
                     x[rows] = text_features(batch.column(0).take(pa.array(rows)), scores[1 - h])
-            yield pa.RecordBatch.from_arrays([*[pa.array(x[:, k]) for k in range(N_FEATURES)], batch.column(2).cast(pa.int32())], [*FEATURES, "y"])
+            yield pa.RecordBatch.from_arrays([*[pa.array(x[:, k]) for k in range(N_FEATURES)], batch.column(2).cast(pa.int32()), batch.column(3)], [*FEATURES, "y", "weight"])
     return score
 
 
@@ -294,8 +303,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int =
     """Learn from labelled documents whose crc32 fold is not 0, at most ``limit`` of each class.
 
     Word counts are merged on Spark. Each half's documents are scored by the
-    other half's model, and a logistic curve is fitted to these scores; the
-    final model uses both halves. Without labels every score is 0.5 or so.
+    other half's model, and a logistic curve is fitted to these scores, with
+    each class weighted up to all its labels, so the sample's balance does not
+    move the scores; the final model uses both halves. Without labels every score is 0.5 or so.
     """
     sample = materialize(labelled_sample(docs, labels, label, fold, limit), "toxicity-sample")
     counted = sample.mapInArrow(_word_kinds, "word string, grp int, n long").groupBy("word").agg(
@@ -307,9 +317,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int =
     n = np.stack([np.asarray(found.column(g), dtype=np.float64) for g in groups], axis=1)
     del found
     halves = (KneserNey(table, n[:, :2]), KneserNey(table, n[:, 2:]))
-    schema = ", ".join(f"{f} double" for f in FEATURES) + ", y int"
+    schema = ", ".join(f"{f} double" for f in FEATURES) + ", y int, weight double"
     found = sample.mapInArrow(_features(halves), schema).orderBy(*FEATURES, "y").toPandas()
-    weights = fit_logistic(found[[*FEATURES]].to_numpy(), found["y"].to_numpy(np.float64))
+    weights = fit_logistic(found[[*FEATURES]].to_numpy(), found["y"].to_numpy(np.float64), found["weight"].to_numpy(np.float64))
     return Toxicity(KneserNey(table, n[:, :2] + n[:, 2:]), weights)
 
 
