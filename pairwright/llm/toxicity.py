@@ -24,8 +24,10 @@ ORDER, CLASS_ORDER = 6, 3
 DISCOUNT = 0.75
 # Labelled documents of each class that are learned from (those with the smallest hashes of their id).
 MAX_DOCS_PER_CLASS = 10_000
-# Letters of a word that are scored; longer ones are cut into pieces of this size.
+# Longest run of letters whose likelihoods are averaged; a longer word (a run of a script without spaces) has the best of all such runs.
 MAX_LETTERS = 40
+# Words, and letters of words, worked on at once.
+WORDS_AT_ONCE, LETTERS_AT_ONCE = 20_000, 400_000
 CACHED_WORDS = 500_000
 # Letters of the windows whose likelihoods are compared; shorter words count as so many letters.
 WINDOW = 5
@@ -58,6 +60,18 @@ def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.concatenate(([0], np.cumsum([len(w) + 2 for w in words]))).astype(np.int64)
 
 
+def _parts(words: list[str]) -> Iterator[tuple[int, int]]:
+    """Starts and ends of runs of whole words that are worked on at once."""
+    start, held = 0, 0
+    for i, w in enumerate(words):
+        if i > start and (i - start == WORDS_AT_ONCE or held + len(w) > LETTERS_AT_ONCE):
+            yield start, i
+            start, held = i, 0
+        held += len(w)
+    if len(words) > start:
+        yield start, len(words)
+
+
 def _ngrams(words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
     """For n = 1..ORDER, hashes of the n-gram that ends at each letter and of the n-1 letters before it.
 
@@ -152,10 +166,16 @@ class KneserNey:
 
 
 def normalised(ratios: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Per word: the log-likelihood ratio per letter of the word, and of its most toxic WINDOW letters in a row."""
+    """Per word: the log-likelihood ratio per letter of the word, and of its most toxic WINDOW letters in a row.
+
+    A word of more than MAX_LETTERS letters has the ratio of its most toxic MAX_LETTERS letters in a row.
+    """
     sizes = np.diff(ends)
     sums = np.concatenate(([0.0], np.cumsum(ratios)))
     whole = (sums[ends[1:]] - sums[ends[:-1]]) / np.maximum(sizes - 1, WINDOW)
+    for k in np.flatnonzero(sizes > MAX_LETTERS + 2):
+        runs = sums[ends[k] + 1 + MAX_LETTERS:ends[k + 1] + 1] - sums[ends[k] + 1:ends[k + 1] + 1 - MAX_LETTERS]
+        whole[k] = runs.max() / MAX_LETTERS
     # The window that ends at each letter, cut at the word's start.
     starts = np.maximum(np.arange(len(ratios)) + 1 - WINDOW, np.repeat(ends[:-1], sizes))
     windows = (sums[1:] - sums[starts]) / WINDOW
@@ -173,12 +193,9 @@ class WordScores:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         new = [w for w in dict.fromkeys(words) if w not in self.known]
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            pieces = [[w[i:i + MAX_LETTERS] for i in range(0, len(w), MAX_LETTERS)] for w in part]
-            at = np.concatenate(([0], np.cumsum([len(xs) for xs in pieces])))
-            scores = np.maximum.reduceat(normalised(*self.model.ratios([x for xs in pieces for x in xs])), at[:-1], axis=0)
-            self.known.update(zip(part, map(tuple, scores.tolist())))
+        for start, stop in _parts(new):
+            part = new[start:stop]
+            self.known.update(zip(part, map(tuple, normalised(*self.model.ratios(part)).tolist())))
         return np.array([self.known[w] for w in words], np.float64).reshape(-1, 2)
 
 
@@ -255,9 +272,10 @@ NGRAMS = "n int, gram long, context long, ending long, n0 long, n1 long, n2 long
 def _count_ngrams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-grams of words: order, hash, hashes of the letters before the last and of the n-gram without its first letter, counts."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 20_000):
-            part = batch.slice(at, 20_000)
-            grams, contexts, _, ends = _ngrams([w[:MAX_LETTERS] for w in part.column(0).to_pylist()])
+        words = batch.column(0).to_pylist()
+        for start, stop in _parts(words):
+            part = batch.slice(start, stop - start)
+            grams, contexts, _, ends = _ngrams(words[start:stop])
             counts = np.stack([np.asarray(part.column(k + 1), dtype=np.int64) for k in range(4)], axis=1)
             weights = np.repeat(counts, np.diff(ends), axis=0)
             for n in range(1, ORDER + 1):
