@@ -31,7 +31,10 @@ PATTERNS = (
     ("card", r"(?<![\d-])[3-6]\d{12,18}(?![\d-])|(?<![\d-])[3-6]\d{3}(?:-\d{4}){2}-\d{1,7}(?![\d-])|(?<!\d)[3-6]\d{3}(?: \d{4}){2} \d{1,7}(?!\d)"
              r"|(?<!\d)3\d{3}[ -]\d{6}[ -]\d{5}(?!\d)"),
     ("phone", r"(?<![\p{N}\p{L}+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\d{2,4}[ .-]\d{2,4}[ .-]\d{3,4}(?:[ .-]\d{2,4})?)(?![\p{N}.-]*\p{N})"
-              r"|\+\d{8,15}(?!\d)"),
+              r"|\+\d{8,15}(?!\d)"
+              # +CC and groups of any length, eight digits at least; France; Spain; Germany; ten digits in a row that do not start with 0 or 1.
+              r"|(?<![\p{N}\p{L}+.-])(?:\+(?=\d(?:[ .()/-]{0,2}\d){7})\d{1,3}+(?:[ .-]?\(\d{1,4}\))?(?:[ ./-]?\d{1,8}+){1,6}|0[1-9](?: \d\d){4}|0[1-9](?:\.\d\d){4}|0[1-9](?:-\d\d){4}|0[1-9]\d{8}"
+              r"|[6-9]\d\d(?: \d\d){3}|0[1-9]\d{1,3}[ /-]\d{5,8}|[2-9]\d{9})(?![\p{N}\p{L}]|[.-]\p{N})"),
     ("person", r"\b(?:Mrs?|Ms|Miss|Mme|Mlle|M\.|Herr|Frau|Sra?|Señora?|Doña|Don|Dr|Prof)\.?[ ]\p{Lu}[\p{L}'-]+(?:[ ]\p{Lu}[\p{L}'-]+){0,2}|(?:госпожа|господин)[ ]\p{Lu}[\p{L}-]+"),
 )
 FEMALE_TITLES = r"(?i)^(?:Mrs|Ms|Miss|Mme|Mlle|Frau|Sra|Señora|Doña|госпожа)\b"
@@ -50,7 +53,7 @@ ANY = "|".join(f"({p})" for _, p in PATTERNS)
 TYPES = [t for t, _ in PATTERNS]
 # A text without any of these signs holds no entity; most texts are spared the full pattern.
 TITLES = r"\b(?:Mrs?|Ms|Miss|Mme|Mlle|M\.|Herr|Frau|Sra?|Señora?|Doña|Don|Dr|Prof)\.?[ ]\p{Lu}|госпо"
-HINT = rf"[0-9@]|{TITLES}|{ASSIGNED}"
+HINT = rf"[0-9@]|AKIA|ASIA|gh[pousr]_|sk-|xox|{TITLES}|{ASSIGNED}"
 
 
 def entity_type(entity: Column) -> Column:
@@ -144,7 +147,7 @@ def surrogate(kind: Column, entity: Column, seed: Column) -> Column:
     kept = F.regexp_extract(bare, r"^(AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-)", 1)
     rest = F.substr(bare, F.length(kept) + 1)
     secret = F.concat(kept, F.when(rest.rlike("^[0-9a-f]+$"), _hex_redrawn(rest, seed)).otherwise(_redrawn(rest, seed)))
-    country = F.regexp_extract(entity, r"^(\+\d{1,3}?(?=[ .(-])|\+\d)", 1)
+    country = F.regexp_extract(entity, r"^(\+\d{1,3}?(?=[ .(-])|\+\d|0[1-9]|[2-9](?=\d{9}$)|[6-9](?=\d\d(?: \d\d){3}$))", 1)
     phone = F.concat(country, _redrawn(F.regexp_replace(F.substr(entity, F.length(country) + 1), r"[^0-9]", ""), seed))
     iban = F.concat(F.substr(F.regexp_replace(entity, " ", ""), F.lit(1), F.lit(2)), _redrawn(F.substr(F.regexp_replace(entity, " ", ""), F.lit(3)), seed))
     return (F.when(kind == "email", mail).when(kind == "ip", ip).when(kind == "card", card).when(kind == "secret", secret).when(kind == "phone", phone)
