@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import decontamination, host_rules, language_model, mixing, quality, simhash, surrogates, token_files, toxicity, url_filter
+from pairwright.llm import decontamination, host_rules, language_model, lexical_search, mixing, quality, simhash, surrogates, token_files, toxicity, url_filter
 from pairwright.llm.common import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,24 @@ PII_KEY = "test-key"
 @register("op3_pii_surrogates")
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(table(spark, sf_dir, "documents"), PII_KEY)
+
+
+SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+q AS (SELECT it, item_id, t, count(*) AS repeats FROM (SELECT row_number() OVER () AS it, item_id,
+  unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark)
+  GROUP BY it, item_id, t),
+s AS (SELECT count(*) FILTER (len(ts) > 0) AS nd, CAST(sum(len(ts)) AS BIGINT) AS l FROM d),
+tf AS (SELECT rn, doc_id, n, t, count(*) AS tf FROM (SELECT rn, doc_id, len(ts) AS n, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY rn, doc_id, n, t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, s GROUP BY t, nd),
+x AS (SELECT it, item_id, rn, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l)))) AS BIGINT) AS score
+  FROM tf JOIN w USING (t) JOIN q USING (t), s GROUP BY it, item_id, rn, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY it ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM x WHERE score > 0) WHERE rank <= 20
+"""
+
+
+@register("op13_lexical_search", SEARCH_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
