@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import decontamination, host_rules, language_model, lexical_search, mixing, quality, simhash, surrogates, token_files, toxicity, url_filter
+from pairwright.llm import decontamination, extraction, host_rules, language_model, lexical_search, mixing, prefix_trie, quality, simhash, surrogates, token_files, toxicity, url_filter
 from pairwright.llm.common import crc_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,39 @@ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
 @register("op13_lexical_search", SEARCH_SQL)
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# crc32 bit by bit: a byte is added (a number from 0), then eight steps (-1) follow.
+TRIE_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, left(sha256(concat(CAST(strlen(r) AS VARCHAR), ':', r, x)), 32) AS dg, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w FROM t),
+c AS (SELECT conv_id, list({'d': dg, 'w': w} ORDER BY turn NULLS FIRST, dg, w) AS l FROM k GROUP BY conv_id),
+h AS (SELECT conv_id, l, CAST(xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda s: [ord(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END), 4294967295::BIGINT) % 4 AS INT) AS h FROM c),
+b AS (SELECT h.conv_id, list_concat(coalesce(p.l[1:h.h], []), h.l[h.h + 1:]) AS l FROM h LEFT JOIN c p ON p.conv_id = h.conv_id - h.conv_id % 20),
+e AS (SELECT conv_id, len(l) AS n, l, unnest(range(0, len(l) + 1)) AS depth FROM b),
+p AS (SELECT conv_id, n, depth, md5(array_to_string(list_transform(l[1:depth], lambda x: x.d), '')) AS path,
+  md5(array_to_string(list_transform(l[1:depth - 1], lambda x: x.d), '')) AS above, CASE WHEN depth > 0 THEN l[depth].w ELSE 0 END AS w FROM e),
+n AS (SELECT path, any_value(above) AS above, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends FROM p GROUP BY path, depth),
+ch AS (SELECT above AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above, depth),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (path, depth)),
+m AS (SELECT path, depth, any_value(l) AS l FROM (SELECT p.path, p.depth, e.l FROM p JOIN e USING (conv_id, depth)) GROUP BY path, depth),
+u AS (SELECT f.path, f.depth, n_convs, w, n_children, l, unnest(range(0, f.depth + 1)) AS up FROM f JOIN m USING (path, depth)),
+s AS (SELECT md5(array_to_string(list_transform(l[1:up], lambda x: x.d), '')) AS path, up AS depth, sum((n_convs - 1) * w) AS saved, sum(CAST(n_children = 0 AS INT)) AS leaves FROM u GROUP BY ALL)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN s ON s.path = f.path AND s.depth = f.depth LEFT JOIN f a ON f.depth > 0 AND a.path = f.above AND a.depth = f.depth - 1
+"""
+
+
+@register("op11_prefix_trie", TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
+@register("op12_extract_text")
+def op12_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract_text(pages, extraction.train(pages))
