@@ -280,11 +280,24 @@ def training_set(pages: list[str], seed: int = 11, layouts: int = LAYOUTS) -> tu
     return out, labels
 
 
+def training_pages(pages: DataFrame, html: str = "html", limit: int = MAX_PAGES) -> list[str]:
+    """``limit`` distinct pages of at most MAX_PAGE_BYTES: those with the smallest hashes of their html.
+
+    Only pages under a hash that about four times as many fall below are
+    looked at, so what is sent to the driver does not grow with the table.
+    """
+    sized = pages.select(F.col(html).alias("html")).filter((F.octet_length("html") > 0) & (F.octet_length("html") <= MAX_PAGE_BYTES))
+    rows = sized.count()
+    hashed = sized.withColumn("hash", F.xxhash64("html"))
+    if rows > 4 * limit:
+        hashed = hashed.filter(F.col("hash") < int(2 ** 64 * 4 * limit / rows) - 2 ** 63)
+    distinct = hashed.groupBy("hash").agg(F.min("html").alias("html"))
+    return [r["html"] for r in distinct.orderBy("hash").limit(limit).collect()]
+
+
 def train(pages: DataFrame, html: str = "html") -> Labeller:
-    """A labeller from MAX_PAGES pages of at most MAX_PAGE_BYTES each: those with the smallest hashes of their html."""
-    sample = pages.select(F.col(html).alias("html")).filter((F.octet_length("html") > 0) & (F.octet_length("html") <= MAX_PAGE_BYTES))
-    rows = sample.orderBy(F.xxhash64("html"), "html").limit(MAX_PAGES).collect()
-    return fit(*training_set([r["html"] for r in rows]))
+    """A labeller from MAX_PAGES pages; without a page it is trained on layouts of a single sentence."""
+    return fit(*training_set(training_pages(pages, html)))
 
 
 # --- extraction --------------------------------------------------------------
