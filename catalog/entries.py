@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from catalog import sql as Q
 from catalog.data import Data, pair_rid
 from pairwright.functions import comparators, normalize, scoring, values, vin
+from pairwright.functions.affine import affine_gap
 from pairwright.functions.serialize import record_text, row_fingerprint
 from pairwright.functions.text import pair_cosine
-from pairwright.operators import blocking, candidates, dedup, evaluate, labels, learned, profile, schema, similarity, validate
+from pairwright.operators import blocking, candidates, dedup, evaluate, labels, learned, linkage, predicates, profile, schema, similarity, validate
 from pairwright.operators.schema import FIELDS, LISTING_COLUMNS, PAIR_KEY, side
 from pairwright.plans.rank import exact_rank, md5_order
 from pairwright.plans.storage import materialize, new_path
@@ -140,12 +141,14 @@ def _linker(d: Data):
     return learned.train_linker(d.labelled, sample_size=None)
 
 
-@query("model_store")
+@query("model_store", f"{Q.LABELLED} SELECT count(*) AS n_rows, count(*) AS equal_scores FROM lp")
 def _(d: Data):
-    path = new_path(d.spark, "linker")
-    models.save_linker(_linker(d), path)
-    features = learned.comparison_vector(d.labelled, ["a_id", "b_id"])
-    return learned.score_pairs(models.load_linker(path), features)
+    """A stored linker scores every pair as the one in memory does."""
+    path, model = new_path(d.spark, "linker"), _linker(d)
+    models.save_linker(model, path)
+    features = materialize(learned.comparison_vector(d.labelled, ["rid"]), "features")
+    both = learned.score_pairs(model, features).join(learned.score_pairs(models.load_linker(path), features).withColumnRenamed("score", "again"), "rid")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("score") == F.col("again"), 1)).alias("equal_scores"))
 
 
 # --- projections and column rules -----------------------------------------
@@ -382,23 +385,24 @@ for _name, _field, _compare, _same in (("cmp_other", "fuel_type", comparators.ot
     column_query(_name, "labelled", lambda c=_compare, f=_field: c(F.col(f"a_{f}"), F.col(f"b_{f}")), _cmp_sql(_field, _same), Q.LABELLED, "lp")
 
 
-def _features_sql(distances: dict[str, str]) -> str:
+def _features_sql(distances: dict[str, str], rounded: bool = True) -> str:
     out = []
     for f, e in distances.items():
         missing = f"(a_{f} IS NULL OR b_{f} IS NULL)"
-        out += [f"coalesce(CASE WHEN NOT {missing} THEN round(CAST({e} AS DOUBLE), 6) END, 0e0) AS d_{f}", f"CAST({missing} AS INT) AS m_{f}"]
+        value = f"round(CAST({e} AS DOUBLE), 6)" if rounded else f"CAST({e} AS DOUBLE)"
+        out += [f"coalesce(CASE WHEN NOT {missing} THEN {value} END, 0e0) AS d_{f}", f"CAST({missing} AS INT) AS m_{f}"]
     return ", ".join(out)
 
 
-def _string_sql(f): return f"levenshtein(a_{f}, b_{f}) / greatest(length(a_{f}), length(b_{f}))::DOUBLE"
+_STRINGS = ("manufacturer", "transmission")
 
 
 _PRICE = f"""CASE WHEN {Q.number('a_mileage')} > 0 AND {Q.number('b_mileage')} > 0
     THEN abs(log10({Q.number('a_mileage')}) - log10({Q.number('b_mileage')})) END"""
 _DISTANCES = {
-    "manufacturer": _string_sql("manufacturer"), "model": f"1 - ({Q.pair_cosine('a_model', 'b_model')})",
+    "manufacturer": Q.string_distance("manufacturer"), "model": f"1 - ({Q.pair_cosine('a_model', 'b_model')})",
     "year": "CASE WHEN a_year = b_year THEN 0 ELSE 1 END", "mileage": _PRICE, "fuel_type": _cmp_sql("fuel_type", Q.OTHER),
-    "transmission": _string_sql("transmission"), "body_type": _cmp_sql("body_type", _SAME_BODY),
+    "transmission": Q.string_distance("transmission"), "body_type": _cmp_sql("body_type", _SAME_BODY),
     "cylinders": _cmp_sql("cylinders", Q.OTHER), "drive": _cmp_sql("drive", _SAME_DRIVE),
     "color": f"1 - ({Q.pair_cosine('a_color', 'b_color')})"}
 
@@ -407,7 +411,10 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if c.startswith("d_") else c for c in df.columns])
 
 
-query("comparison_vector", f"{Q.LABELLED} SELECT rid, {_features_sql(_DISTANCES)} FROM lp")(
+_COMPARED = f"{Q.LABELLED}, {Q.affine(Q.string_pairs('lp', *_STRINGS))}"
+query("affine_gap", f"{_COMPARED} SELECT rid, round({Q.string_distance('manufacturer')}, 6) AS value FROM lp")(
+    lambda d: d.labelled.select("rid", F.round(affine_gap(F.col("a_manufacturer"), F.col("b_manufacturer")), 6).alias("value")))
+query("comparison_vector", f"{_COMPARED} SELECT rid, {_features_sql(_DISTANCES)} FROM lp")(
     lambda d: _rounded(learned.comparison_vector(d.labelled, ["rid"])))
 query("custom_comparator", f"""{Q.LABELLED} SELECT rid, {_features_sql({
     'model': 'abs(length(a_model) - length(b_model))',
@@ -467,24 +474,172 @@ query("block_eval", f"""{SETS}, fl AS (SELECT a_id, b_id, max(p) AS p, max(t) AS
     FROM ex LEFT JOIN bs ON ex.block_index = bs.block_index""")(lambda d: evaluate.block_eval(d.a, d.b, _predicted(d), _truth(d)))
 
 
+# --- block predicates -----------------------------------------------------
+
+_RULES = predicates.rules_of(predicates.LISTING_PREDICATES)
+
+
+@query("predicate_costs", f"{Q.PREDICATE_KEYS} SELECT name AS rule, pairs, blocks FROM rc")
+def _(d: Data):
+    names = d.spark.createDataFrame([(n, r.name) for n, r in enumerate(_RULES)], "rule int, name string")
+    return predicates.rule_costs(d.a, d.b, predicates.LISTING_PREDICATES, _RULES).join(names, "rule").select(F.col("name").alias("rule"), "pairs", "blocks")
+
+
+@query("predicate_cover", f"""{Q.PREDICATE_KEYS} SELECT covers, count(*) AS n FROM (SELECT coalesce(string_agg(CAST(p AS VARCHAR), ',' ORDER BY p), '') AS covers
+    FROM ms LEFT JOIN mp USING (a_id, b_id) GROUP BY a_id, b_id) GROUP BY covers""")
+def _(d: Data):
+    patterns = predicates.cover_patterns(d.labelled.filter("match = 1"), predicates.LISTING_PREDICATES)
+    return patterns.select(F.concat_ws(",", F.transform("covers", lambda i: i.cast("string"))).alias("covers"), "n")
+
+
+@query("learned_predicates", f"""{Q.COVER} SELECT CAST(step AS INT) AS step, chosen[-1] AS rule, CAST(added AS BIGINT) AS added, pairs, round(covered / total::DOUBLE, 6) AS recall FROM gr, tt WHERE step > 0""")
+def _(d: Data):
+    chosen = predicates.learn_rules(d.a, d.b, d.labelled.filter("match = 1"), beam=0)
+    rows = [(k + 1, c.rule.name, c.added, c.pairs, round(c.recall, 6)) for k, c in enumerate(chosen)]
+    return d.spark.createDataFrame(rows, "step int, rule string, added long, pairs long, recall double")
+
+
+# A set of rules that is given, not learned.
+GIVEN_RULES = [predicates.rule(predicates.LISTING_PREDICATES, *names) for names in (("whole(model)", "whole(year)"), ("whole(manufacturer)", "near20000(mileage)"))]
+
+
 # --- learned linkage ------------------------------------------------------
 
-@query("train_linker")
+_FEATURES = [f"{p}_{f}" for f in _DISTANCES for p in ("d", "m")]
+
+
+@query("train_linker", f"""{_COMPARED}, fv AS MATERIALIZED (SELECT match, {_features_sql(_DISTANCES)} FROM lp)
+    {' UNION ALL '.join(f"SELECT '{c}' AS measure, round(sum({c}), 3) AS value FROM fv" for c in _FEATURES)}
+    UNION ALL SELECT 'f1 is 0.9 or more', 1e0""")
 def _(d: Data):
-    features = learned.comparison_vector(d.labelled, ["a_id", "b_id", "match"])
+    """Totals of the features that the linker is trained on, and whether it tells the labels apart."""
+    features = materialize(learned.comparison_vector(d.labelled, ["rid", "match"]), "features")
     scored = learned.score_pairs(_linker(d), features)
-    return evaluate.prf_metrics(scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")), digits=6)
+    f1 = evaluate.prf_metrics(scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))).select(F.lit("f1 is 0.9 or more").alias("measure"), (F.col("f1") >= 0.9).cast("double").alias("value"))
+    totals = _rounded(features).agg(*[F.round(F.sum(c).cast("double"), 3).alias(c) for c in _FEATURES])
+    shown = totals.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in _FEATURES])).alias("x")).select("x.*")
+    return shown.unionByName(f1)
+
+
+# Weights that are given, not learned, so that the linkage can be compared row by row.
+GIVEN_WEIGHTS = {"d_manufacturer": -0.5, "d_model": -6.0, "d_year": -2.0, "d_mileage": -8.0, "d_fuel_type": -0.25, "d_transmission": -0.25, "d_body_type": -0.25,
+                 "m_model": -1.0, "m_mileage": -1.0}
+GIVEN_SCORER = learned.weighted_scorer(GIVEN_WEIGHTS, 4.0)
+_GIVEN_SCORE = "round(1 / (1 + exp(-(4e0 " + " ".join(f"+ {w}e0 * {c}" for c, w in GIVEN_WEIGHTS.items()) + "))), 6)"
+
+
+def _scored_sql(pairs: str, a: str, b: str) -> str:
+    """CTE sc: score of each pair of ids, from the records of the two tables."""
+    fields = ", ".join(f"{s}.{f} AS {s}_{f}" for s in "ab" for f in FIELDS)
+    return f"""
+wide AS MATERIALIZED (SELECT a_id, b_id, {fields} FROM ({pairs}) JOIN {a} a ON a.rid = a_id JOIN {b} b ON b.rid = b_id),
+{Q.affine(Q.string_pairs('wide', *_STRINGS))},
+sc AS MATERIALIZED (SELECT a_id, b_id, {_GIVEN_SCORE} AS score FROM (SELECT a_id, b_id, {_features_sql(_DISTANCES, rounded=False)} FROM wide))"""
+
 
+_GIVEN_PAIRS = f"""SELECT DISTINCT x.rid AS a_id, y.rid AS b_id FROM rk x JOIN rk y ON x.side = 'a' AND y.side = 'b' AND x.name = y.name AND x.key = y.key
+    WHERE x.name IN ({', '.join("'" + r.name + "'" for r in GIVEN_RULES)})"""
+query("predicate_pairs", f"{Q.PREDICATE_KEYS} {_GIVEN_PAIRS}")(lambda d: predicates.rule_pairs(d.a, d.b, GIVEN_RULES))
+query("link_records", f"""{Q.PREDICATE_KEYS}, {_scored_sql(_GIVEN_PAIRS, 'pa', 'pb')}, {Q.greedy('(SELECT * FROM sc WHERE score >= 0.9e0)')} SELECT * FROM go""")(
+    lambda d: learned.link_records(GIVEN_SCORER, d.a, d.b, GIVEN_RULES))
 
-def _links(d: Data) -> DataFrame:
-    pairs = blocking.block_manufacturer_year(schema.drop_vin(d.a), schema.drop_vin(d.b))
-    wide = schema.pairs_to_prefixed(pairs).withColumnsRenamed({"a_rid": "a_id", "b_rid": "b_id"})
-    return learned.link_records(_linker(d), wide)
 
+def _split(d: Data) -> DataFrame:
+    return materialize(labels.split_labelled(d.labelled), "split")
 
-query("link_records")(_links)
-query("one_to_one")(lambda d: learned.one_to_one(_scored_labels(d).select("a_id", "b_id", "score")))
-query("linker_eval")(lambda d: evaluate.set_metrics(_links(d), _truth(d), digits=6))
+
+# Candidates of the test part without repeats (dp), and the two tables of records made of them (ra, rb).
+_SHOWN_PAIR = ["manufacturer", "year", *[f"{c}_{s}" for s in "ab" for c in LISTING_COLUMNS if c not in ("vin", "manufacturer", "year")]]
+
+
+def _record_sql(s: str) -> str:
+    def value(f: str) -> str:
+        own = f if f in schema.BLOCK_KEY else f"{f}_{s}"
+        text = f"CASE WHEN {Q.strip(own)} <> '' THEN lower({Q.strip(own)}) END"
+        number = Q.number(f"replace(({text}), ',', '')")
+        return f"CAST({number} AS VARCHAR) AS {f}" if f in ("year", "mileage") else f"{text} AS {f}"
+    return f"SELECT '{s.upper()}_' || i AS rid, {', '.join(map(value, FIELDS))} FROM dp"
+
+
+def _rule_sql(r: predicates.Rule) -> str:
+    x, y = r.parts
+    return f"SELECT '{r.name}' AS name, x.side, x.rid, length(x.key) || ':' || x.key || y.key AS key FROM kt x JOIN kt y USING (side, rid) WHERE x.p = {x} AND y.p = {y}"
+
+
+TEST_RECORDS = f"""{SPLIT}, te AS MATERIALIZED (SELECT lp.* FROM lp JOIN sl USING (rid) WHERE split = 'test'),
+kt0 AS (SELECT DISTINCT {', '.join(f"coalesce({k}, '') AS {k}" for k in PAIR_KEY)} FROM te),
+c0 AS (SELECT {Q.B1_COLUMNS} FROM {Q.B1_JOIN}),
+c1 AS (SELECT * FROM c0 WHERE EXISTS (SELECT 1 FROM kt0 WHERE {' AND '.join(f"{s}_{f} = coalesce({f if f in schema.BLOCK_KEY else f'{f}_{s}'}, '')" for s in 'ab' for f in FIELDS)})),
+dp AS MATERIALIZED (SELECT *, CAST(row_number() OVER (ORDER BY first) - 1 AS VARCHAR) AS i FROM (
+  SELECT {', '.join(_SHOWN_PAIR)}, min(rid_a || '-' || rid_b) AS first FROM c1 GROUP BY ALL)),
+lb AS MATERIALIZED (SELECT {', '.join(f"coalesce({k}, '') AS {k}" for k in PAIR_KEY)}, arg_max(match, rid) AS match FROM te GROUP BY ALL),
+tru AS MATERIALIZED (SELECT 'labels' AS truth, 'A_' || i AS a_id, 'B_' || i AS b_id FROM dp JOIN lb ON {' AND '.join(f"{s}_{f} = coalesce({f if f in schema.BLOCK_KEY else f'dp.{f}_{s}'}, '')" for s in 'ab' for f in FIELDS)} WHERE match = 1
+  UNION ALL SELECT 'positions', 'A_' || i, 'B_' || i FROM dp WHERE CAST(i AS BIGINT) < (SELECT count(*) FROM sl WHERE split = 'validation')),
+ra AS MATERIALIZED ({_record_sql('a')}), rb AS MATERIALIZED ({_record_sql('b')}),
+kt AS MATERIALIZED ({' UNION ALL '.join(f"SELECT '{s}' AS side, rid, {i} AS p, unnest({Q.PREDICATES[i][1]}) AS key FROM r{s}" for s in 'ab' for i in sorted({i for r in GIVEN_RULES for i in r.parts}))}),
+rr AS MATERIALIZED ({' UNION ALL '.join(map(_rule_sql, GIVEN_RULES))}),
+{_scored_sql("SELECT DISTINCT x.rid AS a_id, y.rid AS b_id FROM rr x JOIN rr y ON x.side = 'a' AND y.side = 'b' AND x.name = y.name AND x.key = y.key", 'ra', 'rb')}"""
+# The score of the best expected F-measure, recall counted twice as much.
+_BEST_LOW = """(SELECT score FROM (SELECT score, (e / te) * (e / n) / (e / te + 4 * (e / n)) AS v FROM (SELECT score, sum(n) OVER w AS n, sum(e) OVER w AS e, sum(e) OVER () AS te
+    FROM (SELECT score, count(*) AS n, sum(score) AS e FROM sc GROUP BY score) WINDOW w AS (ORDER BY score DESC))) ORDER BY v DESC, score DESC LIMIT 1)"""
+
+
+def _linked_records(d: Data) -> tuple[linkage.Records, linkage.Linked, DataFrame]:
+    split = _split(d)
+    records = linkage.test_records(d.a, d.b, split.filter("split = 'test'"))
+    return records, linkage.link_test_records(records, GIVEN_SCORER, GIVEN_RULES), split
+
+
+def _greedy_sql(low: str, mode: str) -> str:
+    return Q.greedy(f"(SELECT * FROM sc WHERE score >= {low})", f"_{mode}")
+
+
+def _prf_row(truth: str, mode: str, low: str) -> str:
+    flags = f"(SELECT coalesce(p, 0) AS predicted, coalesce(t, 0) AS match FROM (SELECT a_id, b_id, 1 AS p FROM go_{mode}) FULL JOIN (SELECT a_id, b_id, 1 AS t FROM tru WHERE truth = '{truth}') USING (a_id, b_id))"
+    return f"SELECT '{truth}' AS truth, '{mode}' AS mode, CAST({low} AS DOUBLE) AS threshold, * FROM ({Q.prf(flags)})"
+
+
+@query("linker_eval", f"""{TEST_RECORDS}, {_greedy_sql('0.9e0', 'fixed')}, {_greedy_sql(_BEST_LOW, 'expected')}
+    {' UNION ALL '.join(_prf_row(t, m, low) for t in ('labels', 'positions') for m, low in (('fixed', '0.9e0'), ('expected', _BEST_LOW)))}""")
+def _(d: Data):
+    records, linked, split = _linked_records(d)
+    truths = {"labels": linkage.labelled_truth(records), "positions": linkage.positional_truth(records, split.filter("split = 'validation'"))}
+    return linkage.evaluation_table(linked, truths, digits=6)
+
+
+query("linker_block_report", f"""{TEST_RECORDS}, {_greedy_sql('0.9e0', '')},
+    fl AS (SELECT a_id, b_id, max(p) AS p, max(t) AS t FROM (SELECT a_id, b_id, 1 AS p, 0 AS t FROM go UNION ALL SELECT a_id, b_id, 0, 1 FROM tru WHERE truth = 'labels') GROUP BY ALL),
+    ax AS (SELECT 'A' AS side, rid, manufacturer, year FROM ra UNION ALL SELECT 'B', rid, manufacturer, year FROM rb),
+    bi AS (SELECT manufacturer, year, row_number() OVER (ORDER BY min((side, rid))) - 1 AS block_index FROM ax WHERE manufacturer IS NOT NULL AND year IS NOT NULL GROUP BY manufacturer, year),
+    ix AS (SELECT side, rid, block_index FROM ax LEFT JOIN bi USING (manufacturer, year)),
+    bs AS (SELECT block_index, sum(p) AS predicted, sum(t) AS actual, sum(p * t) AS tp FROM fl JOIN ix ON rid = a_id WHERE block_index IS NOT NULL GROUP BY block_index)
+    SELECT bi.block_index, manufacturer, CAST(year AS DOUBLE) AS year, CAST(coalesce(predicted, 0) AS BIGINT) AS predicted, CAST(coalesce(actual, 0) AS BIGINT) AS actual, CAST(coalesce(tp, 0) AS BIGINT) AS tp
+    FROM bi LEFT JOIN bs USING (block_index)""")
+def _(d: Data):
+    records, linked, _ = _linked_records(d)
+    return linkage.block_report(records, linked.links["fixed"], linkage.labelled_truth(records)).filter("block_index IS NOT NULL")
+
+
+@query("learned_linkage", f"""{TEST_RECORDS} SELECT measure, CAST(value AS BIGINT) AS value FROM (VALUES ('test pairs', (SELECT count(*) FROM dp)), ('true pairs', (SELECT count(*) FROM tru WHERE truth = 'labels')),
+    ('rules cover 0.95 of what they can', 1), ('fewer candidates than the block key gives', 1), ('f1 at the expected threshold is 0.75 or more', 1), ('recall there is not below the fixed one', 1)) v(measure, value)""")
+def _(d: Data):
+    """Train on the train part, store, load, learn rules, link the records of the test part; sizes, and whether the goals are met."""
+    split = _split(d)
+    parts = {name: split.filter(F.col("split") == name) for name in ("train", "test")}
+    trained = linkage.train_and_store(d.a, d.b, parts["train"], new_path(d.spark, "linker"))
+    records = linkage.test_records(d.a, d.b, parts["test"])
+    linked = linkage.link_test_records(records, trained.scorer, [c.rule for c in trained.rules])
+    truth = linkage.labelled_truth(records)
+    table = {r["mode"]: r for r in linkage.evaluation_table(linked, {"labels": truth}).collect()}
+    block_pairs = blocking.candidate_count(records.a, records.b).first()[0]
+    rows = [("test pairs", records.pairs.count()), ("true pairs", truth.count()), ("rules cover 0.95 of what they can", int(trained.rules[-1].recall >= 0.93)),
+            ("fewer candidates than the block key gives", int(linked.scored.count() < block_pairs)),
+            ("f1 at the expected threshold is 0.75 or more", int(table["expected"]["f1"] >= 0.75)), ("recall there is not below the fixed one", int(table["expected"]["recall"] >= table["fixed"]["recall"]))]
+    return d.spark.createDataFrame(rows, "measure string, value long")
+
+
+query("one_to_one", f"{Q.LABELLED}, {Q.greedy(f'(SELECT a_id, b_id, round({Q.PAIR_SCORE}, 6) AS score FROM lp)')} SELECT * FROM go")(
+    lambda d: learned.one_to_one(_scored_labels(d).select("a_id", "b_id", F.round("score", 6).alias("score"))))
 _CUM = """WITH s AS (SELECT n_chars % 1000 / 1000e0 AS score, quality AS label FROM documents JOIN labels USING (doc_id)),
     g AS (SELECT score, count(*) AS n, sum(score) AS e, sum(label) AS t FROM s GROUP BY score),
     c AS (SELECT score, sum(n) OVER w AS n, sum(e) OVER w AS e, sum(t) OVER w AS t, sum(e) OVER () AS te, sum(t) OVER () AS tt FROM g WINDOW w AS (ORDER BY score DESC))"""

@@ -274,3 +274,95 @@ def negatives(name: str, anchors: str, slots: int, tag: str) -> str:
     SELECT anchor, slot, lo, cnt, {draw} % (n - cnt) AS r FROM (
       SELECT anchor, coalesce(lo, 0) AS lo, coalesce(cnt, 0) AS cnt FROM {anchors} x LEFT JOIN {name}_s s ON x.vin IS NOT DISTINCT FROM s.vin),
       range(1, {slots + 1}) g(slot), {name}_n WHERE slot <= n - cnt)) JOIN {name}_i USING (idx)"""
+
+
+# --- block predicates -----------------------------------------------------
+
+def _listed(condition: str, keys: str) -> str:
+    return f"CASE WHEN {condition} THEN {keys} ELSE []::VARCHAR[] END"
+
+
+def _value(f): return f"lower({strip(f)})"
+def whole_keys(f): return _listed(f"{_value(f)} <> ''", f"[{_value(f)}]")
+def start_keys(f, n=3): return _listed(f"{_value(f)} <> ''", f"[left({_value(f)}, {n})]")
+def word_keys(f): return f"list_distinct(coalesce({TOKENS.format(f)}, []::VARCHAR[]))"
+def first_word_keys(f): return f"coalesce({TOKENS.format(f)}, []::VARCHAR[])[1:1]"
+def magnitude_keys(f): return _listed(f"{number(f)} >= 1", f"[CAST(CAST(floor(log10({number(f)})) AS BIGINT) AS VARCHAR)]")
+
+
+def near_keys(f, width):
+    low, high = (f"CAST(CAST(floor({number(f)} / {width}e0 {more}) AS BIGINT) AS VARCHAR)" for more in ("", "+ 0.5e0"))
+    return _listed(f"{number(f)} IS NOT NULL", f"['a' || {low}, 'b' || {high}]")
+
+
+# In the library's order: name, keys, whether they are many.
+PREDICATES = (
+    ("whole(manufacturer)", whole_keys("manufacturer"), False), ("start3(manufacturer)", start_keys("manufacturer"), False), ("whole(model)", whole_keys("model"), False),
+    ("first_word(model)", first_word_keys("model"), False), ("words(model)", word_keys("model"), True), ("whole(year)", whole_keys("year"), False),
+    ("near4(year)", near_keys("year", 4), True), ("near20000(mileage)", near_keys("mileage", 20000), True), ("magnitude(mileage)", magnitude_keys("mileage"), False),
+    *[(f"whole({f})", whole_keys(f), False) for f in ("fuel_type", "transmission", "body_type", "cylinders", "drive", "color")])
+
+# Keys of both tables' records (kt), rules (rl), their keys (rk), and which labelled matches each covers (mc).
+PREDICATE_KEYS = LABELLED + """,
+kt AS MATERIALIZED (""" + " UNION ALL ".join(f"SELECT '{s}' AS side, rid, {i} AS p, unnest({keys}) AS key FROM p{s}" for s in "ab" for i, (_, keys, _) in enumerate(PREDICATES)) + """),
+pn AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{name}', {many})" for i, (name, _, many) in enumerate(PREDICATES)) + """) v(p, name, many)),
+rl AS MATERIALIZED (SELECT p, CAST(NULL AS INT) AS q, name FROM pn UNION ALL SELECT x.p, y.p, x.name || ' & ' || y.name FROM pn x JOIN pn y ON x.p < y.p AND NOT (x.many AND y.many)),
+rk AS (SELECT name, side, rid, key FROM kt JOIN rl USING (p) WHERE q IS NULL
+  UNION ALL SELECT name, x.side, x.rid, length(x.key) || ':' || x.key || y.key FROM rl JOIN kt x ON x.p = rl.p JOIN kt y ON y.p = rl.q AND y.side = x.side AND y.rid = x.rid),
+rc AS MATERIALIZED (SELECT name, CAST(sum(n_a * n_b) AS BIGINT) AS pairs, count(*) AS blocks FROM (
+  SELECT name, key, count(*) FILTER (side = 'a') AS n_a, count(*) FILTER (side = 'b') AS n_b FROM rk GROUP BY ALL) WHERE n_a > 0 AND n_b > 0 GROUP BY name),
+ms AS (SELECT a_id, b_id FROM lp WHERE match = 1),
+mp AS MATERIALIZED (SELECT DISTINCT a_id, b_id, x.p FROM ms JOIN kt x ON x.side = 'a' AND x.rid = a_id JOIN kt y ON y.side = 'b' AND y.rid = b_id AND y.p = x.p AND y.key = x.key),
+mc AS MATERIALIZED (SELECT a_id, b_id, name FROM mp JOIN rl USING (p) WHERE q IS NULL
+  UNION ALL SELECT x.a_id, x.b_id, name FROM rl JOIN mp x ON x.p = rl.p JOIN mp y ON y.p = rl.q AND y.a_id = x.a_id AND y.b_id = x.b_id)"""
+
+# The greedy cover, a rule a step: the one that adds most for a pair among the matches that no chosen rule covers.
+COVER = PREDICATE_KEYS + """,
+cv AS MATERIALIZED (SELECT rules, count(*) AS n FROM (SELECT list_sort(list(name)) AS rules FROM mc GROUP BY a_id, b_id) GROUP BY rules),
+ro AS MATERIALIZED (SELECT name, row_number() OVER (ORDER BY q IS NOT NULL, p, q) AS place, coalesce(pairs, 0) AS pairs FROM rl LEFT JOIN rc USING (name)),
+tt AS (SELECT (SELECT count(*) FROM ms) AS total, (SELECT sum(n) FROM cv) AS coverable),
+gr(step, chosen, added, pairs, covered) AS (SELECT 0, []::VARCHAR[], 0::HUGEINT, 0::BIGINT, 0::HUGEINT
+  UNION ALL SELECT step + 1, list_append(chosen, name), gain, b.pairs, covered + gain FROM gr, tt, LATERAL (
+    SELECT g.name, gain, ro.pairs FROM (SELECT name, sum(n) AS gain FROM (SELECT unnest(rules) AS name, n FROM cv WHERE NOT list_has_any(rules, chosen)) GROUP BY name) g JOIN ro USING (name)
+    ORDER BY gain / (1 + ro.pairs)::DOUBLE DESC, gain DESC, place LIMIT 1) b WHERE covered < 0.99e0 * coverable AND step < 20)"""
+
+
+# --- learned linkage ------------------------------------------------------
+
+def affine(source: str) -> str:
+    """CTE af (a, b, d): affine-gap distance of distinct pairs of different texts; a step of the recursion is a letter of the shorter one."""
+    cost = lambda j: f"(7 * least({j}, m) + 0.875e0 * greatest({j} - m, 0))"
+    return f"""
+vp AS MATERIALIZED (SELECT DISTINCT a, b, CASE WHEN length(a) < length(b) THEN b ELSE a END AS l, CASE WHEN length(a) < length(b) THEN a ELSE b END AS s
+  FROM ({source}) WHERE a <> b),
+ag AS (SELECT a, b, l, s, length(l) AS n, length(s) AS m, 0 AS i, list_transform(range(0, length(l) + 1), lambda j: CASE WHEN j = 0 THEN 0e0 ELSE 10e0 + 7 * j END) AS best,
+  list_transform(range(0, length(l) + 1), lambda j: 1e15::DOUBLE) AS down FROM vp
+ UNION ALL SELECT a, b, l, s, n, m, i, list_transform(range(0, n + 1), lambda j: least(t[j + 1],
+   coalesce(list_min(list_transform(range(0, j), lambda k: t[k + 1] + CASE WHEN k + 1 <= m THEN 10e0 ELSE 1.25e0 END + {cost('j')} - {cost('k')})), 1e15::DOUBLE))), down
+ FROM (SELECT a, b, l, s, n, m, i, down, list_transform(range(0, n + 1), lambda j: CASE WHEN j = 0 THEN 10e0 + 7 * i
+     ELSE least(down[j + 1], best[j] + CASE WHEN substr(l, j, 1) = substr(s, i, 1) THEN 1 ELSE 11 END) END) AS t
+  FROM (SELECT a, b, l, s, n, m, CAST(i + 1 AS INT) AS i, best, list_transform(range(0, n + 1), lambda j: least(down[j + 1], best[j + 1] + 10) + 7) AS down FROM ag WHERE i < m))),
+af AS MATERIALIZED (SELECT a, b, best[-1] / (n + m)::DOUBLE AS d FROM ag WHERE i = m)"""
+
+
+def string_distance(f: str) -> str:
+    return (f"CASE WHEN a_{f} = b_{f} THEN CASE WHEN a_{f} <> '' THEN 0.5e0 END "
+            f"ELSE (SELECT d FROM af WHERE af.a = a_{f} AND af.b = b_{f}) END")
+
+
+def string_pairs(source: str, *fields: str) -> str:
+    return " UNION ".join(f"SELECT a_{f} AS a, b_{f} AS b FROM {source}" for f in fields)
+
+
+def greedy(source: str, tag: str = "") -> str:
+    """CTE go (a_id, b_id, score): greedy one-to-one assignment of source (a_id, b_id, score); a step takes all pairs best for both ids.
+
+    ``tag`` is added to the names of the CTEs.
+    """
+    return f"""
+rp{tag} AS (SELECT a_id, b_id, max(score) AS score FROM {source} GROUP BY a_id, b_id),
+rd{tag} AS (SELECT a_id, b_id, score, row_number() OVER (ORDER BY score DESC, md5(a_id || '|' || b_id), a_id, b_id) AS rk FROM rp{tag}),
+gs{tag} AS (SELECT a_id, b_id, score, rk, false AS taken FROM rd{tag}
+  UNION ALL SELECT a_id, b_id, score, rk, mutual FROM (SELECT *, bool_or(mutual) OVER (PARTITION BY a_id) AS of_a, bool_or(mutual) OVER (PARTITION BY b_id) AS of_b FROM (
+    SELECT *, rk = min(rk) OVER (PARTITION BY a_id) AND rk = min(rk) OVER (PARTITION BY b_id) AS mutual FROM gs{tag} WHERE NOT taken)) WHERE mutual OR NOT (of_a OR of_b)),
+go{tag} AS MATERIALIZED (SELECT a_id, b_id, score FROM gs{tag} WHERE taken)"""

@@ -12,16 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pairwright.functions.scoring import NEAR_DRIVES, either
+from pairwright.functions.affine import affine_gap
+from pairwright.functions.scoring import NEAR_BODIES, NEAR_DRIVES, either
 from pairwright.functions.text import pair_cosine
 from pairwright.functions.values import number
 
 Comparator = Callable[[Column, Column], Column]
 
-# Body types treated as the same by the learned matcher.
-SAME_BODIES = [("truck", "pickup"), ("offroad", "suv"), ("pickup", "offroad")]
-
-
 def _distance(same: Column) -> Column:
     return F.when(same, 0).otherwise(1)
 
@@ -34,7 +31,7 @@ def other_distance(a: Column, b: Column, equal_is_match: bool = False) -> Column
 
 
 def body_distance(a: Column, b: Column, equal_is_match: bool = False) -> Column:
-    same = (a == "other") | (b == "other") | either(a, b, SAME_BODIES)
+    same = (a == "other") | (b == "other") | either(a, b, NEAR_BODIES)
     return _distance(same | (a == b) if equal_is_match else same)
 
 
@@ -49,6 +46,11 @@ def string_distance(a: Column, b: Column) -> Column:
     return F.when(longest == 0, 0.0).otherwise(F.levenshtein(a, b) / longest)
 
 
+def affine_distance(a: Column, b: Column) -> Column:
+    """Affine-gap distance divided by both lengths together: what equal texts cost is the least, not 0."""
+    return affine_gap(a, b)
+
+
 def text_distance(a: Column, b: Column) -> Column:
     return 1 - pair_cosine(a, b)
 
@@ -64,12 +66,12 @@ def price_distance(a: Column, b: Column) -> Column:
 
 
 DEFAULT_COMPARATORS: dict[str, Comparator] = {
-    "manufacturer": string_distance,
+    "manufacturer": affine_distance,
     "model": text_distance,
     "year": exact_distance,
     "mileage": price_distance,
     "fuel_type": other_distance,
-    "transmission": string_distance,
+    "transmission": affine_distance,
     "body_type": body_distance,
     "cylinders": other_distance,
     "drive": drive_distance,
