@@ -10,7 +10,6 @@ tables are handled as the operators say; a stage that is given no rows returns n
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pairwright.llm import decontamination, mixing, quality, simhash, token_files
 from pairwright.llm.queries import table, tokenizer_path
@@ -22,7 +21,7 @@ MIN_QUALITY = 0.3
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier gives a score of MIN_QUALITY or more."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", fold=5)
-    return quality.with_score(docs, model).filter(F.col("_score") >= MIN_QUALITY).select(*docs.columns)
+    return quality.keep_good(docs, model, MIN_QUALITY)
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,6 +80,38 @@ def kept_in_worker(owner: object, make):
     return _KEPT[1]
 
 
+class WordMemory:
+    """A row of whole numbers for each word, worked out once by a worker and packed in one table.
+
+    ``of`` gives the rows of a list of words. What is remembered stays, as
+    frequent words come early; beyond ``limit`` words others are worked out again
+    for each part of a text.
+    """
+
+    def __init__(self, of, width: int, limit: int = 200_000):
+        self.of, self.limit, self.places = of, limit, {}
+        self.table = np.zeros((1024, width), np.int32)
+
+    def array(self, words: list[str]) -> np.ndarray:
+        places = self.places
+        at = np.fromiter((places.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if not len(missing):
+            return self.table[at]
+        new = [words[k] for k in missing]
+        rows = np.asarray(self.of(new), np.int32).reshape(len(new), -1)
+        out = self.table[np.maximum(at, 0)]
+        out[missing] = rows
+        kept = min(len(new), self.limit - len(places))
+        if kept > 0:
+            start = len(places)
+            while start + kept > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[start:start + kept] = rows[:kept]
+            places.update(zip(new[:kept], range(start, start + kept)))
+        return out
+
+
 def crc_fold(key: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
@@ -126,6 +158,28 @@ def sum_blocks(parts: DataFrame, size: int) -> np.ndarray:
     return out[:size]
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have: the wanted ones, with underscores put before them as needed."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str, of: DataFrame | None = None) -> Column:
+    """A column by its exact name, whatever signs it has; ``of`` says of which table."""
+    exact = "`" + name.replace("`", "``") + "`"
+    return F.col(exact) if of is None else of[exact]
+
+
+def schema_text(df: DataFrame) -> str:
+    """The columns of ``df`` as mapInArrow wants its result described."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a table that is already written; it is broadcast only if a count shows it small."""
     if small.limit(rows + 1).count() <= rows:
@@ -139,5 +193,5 @@ def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     return big.join(small, on, how).select(*[big[c] for c in big.columns], *[small[c] for c in small.columns if c not in keys])
 
 
-__all__ = ["BLOCK", "BROADCAST_ROWS", "SLICE_BYTES", "WORD", "as_blocks", "crc_fold", "encode_words", "join_small", "materialize",
-           "per_text", "slices", "split_words", "sum_blocks"]
+__all__ = ["BLOCK", "BROADCAST_ROWS", "SLICE_BYTES", "WORD", "WordMemory", "as_blocks", "crc_fold", "encode_words", "free_names", "join_small", "materialize",
+           "per_text", "quoted", "schema_text", "slices", "split_words", "sum_blocks"]

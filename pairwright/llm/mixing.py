@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairwright.llm.common import WORD, materialize
+from pairwright.llm.common import WORD, free_names, materialize, quoted
 
 # A source's weight is a setting, so there are few; more is an error.
 MAX_SOURCES = 100_000
 # Hex digits of the sampling key that make a bucket: 4,096 per source.
 BUCKET_DIGITS = 3
+# Rows of a group of equal rows that one task numbers.
+ROWS_PER_PART = 50_000
 
 
 def word_count(text: str = "text") -> Column:
@@ -106,13 +108,43 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: columns of ``docs``, a row for each time a document is taken.
 
     Documents stay whole: one that is cut is taken if at least half of its
-    words are. Documents without words are kept once.
+    words are. Documents without words are kept once. Rows with equal id, size
+    and source share their copies: each takes the whole part of its share, and
+    the first so many of them, in an order of their own, one of what is left. Columns may have any names.
     """
     taken = mix(docs, **settings)
-    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
-    times = materialize(taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"), copies.alias("_copies"))
-                        .groupBy("_id", "_size", "_source").agg(F.sum("_copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")), "mix-copies")
-    # Rows with equal id, size and source share their copies evenly, the rest by chance of place.
-    own = docs.withColumn("_n", word_count())
-    joined = own.join(times, own["doc_id"].eqNullSafe(times["_id"]) & (own["_n"] == times["_size"]) & own["source"].eqNullSafe(times["_source"]))
-    return joined.filter("_copies > 0").withColumn("_take", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_copies") / F.col("_rows")).cast("int")))).select(*[own[c] for c in docs.columns])
+    key, text, source = (settings.get(n, d) for n, d in (("key", "doc_id"), ("text", "text"), ("source", "source")))
+    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("long")
+    size, k_id, k_size, k_source, n_copies, n_rows, times = free_names(docs, "_size", "_k_id", "_k_size", "_k_source", "_copies", "_rows", "_times")
+    shares = materialize(taken.select(F.col("doc_id").alias(k_id), F.col("size").alias(k_size), F.col("source").alias(k_source), copies.alias(n_copies))
+                         .groupBy(k_id, k_size, k_source).agg(F.sum(n_copies).alias(n_copies), F.count(F.lit(1)).alias(n_rows)).filter(F.col(n_copies) > 0), "mix-copies")
+    own = docs.withColumn(size, word_count(text))
+    same = own[key].eqNullSafe(shares[k_id]) & (own[size] == shares[k_size]) & own[source].eqNullSafe(shares[k_source])
+    joined = own.join(shares, same).select(*[quoted(c, own) for c in own.columns], k_id, k_source, n_copies, n_rows)
+    rest = F.col(n_copies) % F.col(n_rows)
+    even = joined.filter((F.col(n_rows) == 1) | (rest == 0)).withColumn(times, F.col(n_copies) / F.col(n_rows))
+    uneven = _dealt(joined.filter((F.col(n_rows) > 1) & (rest > 0)), [k_id, size, k_source], n_copies, n_rows, times)
+    both = even.select(*map(quoted, own.columns), F.col(times).cast("int").alias(times)).unionByName(uneven.select(*map(quoted, own.columns), F.col(times).cast("int").alias(times)))
+    return both.filter(F.col(times) > 0).withColumn(size, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[quoted(c) for c in docs.columns])
+
+
+def _dealt(rows: DataFrame, group: Sequence[str], n_copies: str, n_rows: str, times: str) -> DataFrame:
+    """Add ``times``, a whole share of its group's copies for each row; written, because rows are numbered.
+
+    A large group is cut into parts by a hash of the row number: a row's place is the
+    rows of earlier parts and its place in its own.
+    """
+    row, part, before = free_names(rows, "_row", "_part", "_before")
+    numbered = materialize(rows.withColumn(row, F.monotonically_increasing_id()), "mix-repeats")
+    parts = F.pmod(F.xxhash64(row), F.ceil(F.col(n_rows) / ROWS_PER_PART))
+    cut = numbered.withColumn(part, parts)
+    of_group = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy(*group, part).agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select(*group, part, F.coalesce(F.sum("n").over(of_group), F.lit(0)).alias(before))
+    on = cut[part] == offsets[part]
+    for g in group:
+        on = on & cut[g].eqNullSafe(offsets[g])
+    inside = Window.partitionBy(*[cut[g] for g in group], cut[part]).orderBy(cut[row])
+    place = F.row_number().over(inside) + offsets[before]
+    share = F.floor(F.col(n_copies) / F.col(n_rows)) + (place <= F.col(n_copies) % F.col(n_rows)).cast("long")
+    return cut.join(offsets, on).select(*[quoted(c, cut) for c in rows.columns], share.alias(times))

@@ -10,7 +10,6 @@ word never seen still has a form that was.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.llm.common import as_blocks, encode_words, materialize, per_text, slices, split_words, sum_blocks
+from pairwright.llm.common import WordMemory, as_blocks, encode_words, free_names, kept_in_worker, materialize, per_text, quoted, schema_text, slices, split_words, sum_blocks
 from pairwright.llm.toxicity import labelled_sample
 
 # Word vectors: terms fall into so many buckets by hash, DIMS numbers each (a model of 4 MB), NONZERO of an index vector.
@@ -28,7 +27,8 @@ BUCKETS, FORM_BUCKETS, DIMS, NONZERO = 16_384, 4_096, 32, 4
 # Labelled documents of each class that the network is fitted on (smallest hashes of the id).
 MAX_DOCS_PER_CLASS = 10_000
 HIDDEN, STEPS, RATE = 24, 400, 0.02
-CACHED_WORDS = 400_000
+# Words that a worker remembers, 12 bytes each besides the word.
+CACHED_WORDS = 150_000
 
 
 def _index_vectors(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,28 +41,37 @@ PLACES, SIGNS = _index_vectors(BUCKETS + FORM_BUCKETS, 2)
 
 
 def word_form(word: str) -> str:
+    """One sign for each run of small letters, other letters, digits, or an equal sign."""
     out = []
     for ch in word:
         kind = "a" if ch.islower() else "A" if ch.isalpha() else "9" if ch.isdigit() else ch
         if not out or out[-1] != kind:
             out.append(kind)
-    return "".join(out[:12])
+    return "".join(out)
 
 
-class Terms:
+def _term_buckets(words: list[str]) -> list[tuple[int, int, int]]:
+    """Of each word its bucket, and those of its form, plain and with the mark of a repetition."""
+    digest = xxhash.xxh32_intdigest
+    out = []
+    for w in words:
+        form = word_form(w)
+        out.append((digest(w.lower()) % BUCKETS, BUCKETS + digest(form) % FORM_BUCKETS, BUCKETS + digest(form + "=") % FORM_BUCKETS))
+    return out
+
+
+class Terms(WordMemory):
     """Buckets of words and of their forms, remembered by word."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, int, int]] = {}
+        super().__init__(_term_buckets, 3, CACHED_WORDS)
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        for w in words:
-            if w not in self.known:
-                form = word_form(w)
-                self.known[w] = (xxhash.xxh32_intdigest(w.lower()) % BUCKETS, *(BUCKETS + xxhash.xxh32_intdigest(form + mark) % FORM_BUCKETS for mark in ("", "=")))
-        return np.array([self.known[w] for w in words], np.int64).reshape(-1, 3)
+        return self.array(words).astype(np.int64)
+
+
+def worker_terms() -> Terms:
+    return kept_in_worker("quality-terms", Terms)
 
 
 def term_streams(texts: pa.Array, terms: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +91,7 @@ def term_streams(texts: pa.Array, terms: Terms) -> tuple[np.ndarray, np.ndarray,
 def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of neighbours' index vectors by bucket, then how often each bucket occurs."""
     n = BUCKETS + FORM_BUCKETS
-    vectors, counts, terms = np.zeros(n * DIMS), np.zeros(n), Terms()
+    vectors, counts, terms = np.zeros(n * DIMS), np.zeros(n), worker_terms()
     for batch in slices(batches, "text"):
         words, forms, ends = term_streams(batch.column(0), terms)
         counts += np.bincount(words, minlength=n) + np.bincount(forms, minlength=n)
@@ -184,7 +193,7 @@ def fit_network(x: np.ndarray, y: np.ndarray, share: np.ndarray, weight: np.ndar
 
 def _features(shared):
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, terms = shared.value, Terms()
+        vectors, terms = shared.value, worker_terms()
         for batch in slices(batches, "text"):
             x = pooled(batch.column(0), vectors, terms)
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int32()), batch.column(3)], ["x", "half", "y", "weight"])
@@ -216,17 +225,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: int
     return Quality(vectors, fit_network(x, y, np.arange(len(x)) % 4 == 3, weight))
 
 
-def _scorer(shared):
+def _scorer(shared, text: str, name: str):
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, terms = shared.value, Terms()
-        for batch in slices(batches, "text"):
-            p = model.network.scores(pooled(batch.column(batch.schema.get_field_index("text")), model.vectors, terms))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "_score"])
+        model, terms = shared.value, worker_terms()
+        for batch in slices(batches, text):
+            p = model.network.scores(pooled(batch.column(batch.schema.get_field_index(text)), model.vectors, terms))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, name])
     return score
 
 
-def with_score(docs: DataFrame, model: Quality) -> DataFrame:
-    """Add ``_score`` (0 to 1) to the columns of ``docs``; null and empty texts get the score of a text without words."""
+def with_score(docs: DataFrame, model: Quality, text: str = "text", name: str = "_score") -> DataFrame:
+    """Add ``name`` (0 to 1) to the columns of ``docs``; null and empty texts get the score of a text without words."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * DIMS numbers
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_scorer(shared), f"{fields}, _score double")
+    return docs.mapInArrow(_scorer(shared, text, name), f"{schema_text(docs)}, {name} double")
+
+
+def keep_good(docs: DataFrame, model: Quality, minimum: float, text: str = "text") -> DataFrame:
+    """Columns of ``docs``, whatever their names; rows with a score of ``minimum`` or more."""
+    name, = free_names(docs, "_score")
+    return with_score(docs, model, text, name).filter(F.col(name) >= minimum).select(*[quoted(c) for c in docs.columns])

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.llm.common import materialize, slices, split_words
+from pairwright.llm.common import free_names, materialize, quoted, schema_text, slices, split_words
 from pairwright.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -44,18 +44,19 @@ def fingerprint(words: list[str]) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        words, ends = split_words(batch.column(batch.schema.get_field_index("text")), lower=True)
-        words = words.to_pylist()
-        prints = np.array([fingerprint(words[s:e]) for s, e in zip(ends[:-1], ends[1:])], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints)], names=[*batch.schema.names, "_fp"])
+def _fingerprints(text: str, name: str):
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            words, ends = split_words(batch.column(batch.schema.get_field_index(text)), lower=True)
+            words = words.to_pylist()
+            prints = np.array([fingerprint(words[s:e]) for s, e in zip(ends[:-1], ends[1:])], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints)], names=[*batch.schema.names, name])
+    return add
 
 
-def with_fingerprint(docs: DataFrame) -> DataFrame:
-    """Add ``_fp``, the fingerprint of ``text`` as a signed number, to the columns of ``docs``."""
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_fingerprints, f"{fields}, _fp long")
+def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "_fp") -> DataFrame:
+    """Add ``name``, the fingerprint of ``text`` as a signed number, to the columns of ``docs``."""
+    return docs.mapInArrow(_fingerprints(text, name), f"{schema_text(docs)}, {name} long")
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -116,15 +117,16 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     return rows.join(firsts, "_fp").select("doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Columns of ``docs``; of each class the row with the smallest id stays, whole rows included.
 
-    Among rows with the same id any one stays (the first as read); null ids come last.
+    Among rows with the same id any one stays (the first as read); null ids come last. Columns may have any names.
     """
-    rows = materialize(with_fingerprint(docs).withColumn("_row", F.monotonically_increasing_id()), "fingerprinted")
-    rank = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col("_row").alias("r"))
-    prints = materialize(rows.groupBy("_fp").agg(F.min(rank).alias("_best")), "distinct-fingerprints")
+    fp, row = free_names(docs, "_fp", "_row")
+    rows = materialize(with_fingerprint(docs, text, fp).withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
+    own = rows.select(F.col(fp).alias("_fp"), F.struct(quoted(key).isNull().alias("n"), quoted(key).alias("k"), F.col(row).alias("r")).alias("rank"))
+    prints = materialize(own.groupBy("_fp").agg(F.min("rank").alias("_best")), "distinct-fingerprints")
     linked = materialize(fingerprint_classes(prints.select("_fp")), "fingerprint-classes")
     best = prints.join(linked, "_fp", "left").groupBy(F.coalesce("_root", "_fp").alias("_class")).agg(F.min("_best").alias("_best"))
-    kept = materialize(best.select(F.col("_best.r").alias("_row")), "kept-rows")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = materialize(best.select(F.col("_best.r").alias(row)), "kept-rows")
+    return rows.join(kept, row, "left_semi").select(*[quoted(c) for c in docs.columns])
