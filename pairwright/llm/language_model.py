@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,9 @@ KINDS, BUCKETS = 3, 2_048
 # Distributed updates: each training document takes part in one round of an epoch.
 ROUNDS, EPOCHS, RATE, PRIOR = 4, 1, 0.5, 2.0
 # A slice ends at so many tokens or distinct words; tokens scored at once.
-SLICE_TOKENS, SLICE_WORDS, AT_ONCE = 1_000_000, 150_000, 40_000
+SLICE_TOKENS, SLICE_WORDS, PART_TOKENS, AT_ONCE = 1_000_000, 150_000, 100_000, 40_000
+# Slices are long rows: a batch sent to a worker holds so many bytes.
+BATCH_BYTES = "8m"
 
 SLICE_DDL = "slice long, train_docs long, doc_ids array<long>, train binary, ends binary, codes binary, words array<string>, hashes binary, endings binary, counts binary"
 
@@ -170,6 +173,17 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, d
             yield one, {name: one.column(i)[0].as_py() for i, name in enumerate(one.schema.names) if name != "seen"}
 
 
+def _parts(row: dict) -> Iterator[dict]:
+    """A slice in runs of documents of about PART_TOKENS tokens: the arrays that are made of tokens stay short."""
+    ends, codes = np.frombuffer(row["ends"], "<i8"), np.frombuffer(row["codes"], "<i4")
+    docs, at = len(ends) - 1, 0
+    while at < docs:
+        stop = min(docs, max(at + 1, int(np.searchsorted(ends, ends[at] + PART_TOKENS, "right")) - 1))
+        yield {**row, "ends": (ends[at:stop + 1] - ends[at]).astype("<i8"), "codes": codes[ends[at]:ends[stop]], "train": row["train"][at:stop],
+               "doc_ids": row.get("doc_ids", [])[at:stop], "first": at}
+        at = stop
+
+
 def class_probabilities(bias: np.ndarray, weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """P(class | before) for a batch of tokens: the few active rows of the weights are added up."""
     z = weights[features[0]]
@@ -187,10 +201,10 @@ def _gradients(shared, round_number: int):
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, weights, singles = shared.value
         observed, expected = np.zeros(KINDS * BUCKETS * CLASSES), np.zeros((KINDS * BUCKETS, CLASSES), np.float64)
-        for _, row in _rows(batches):
+        for row in (part for _, whole in _rows(batches) for part in _parts(whole)):
             tokens = SliceTokens(row, singles)
             docs = len(tokens.train)
-            turn = (np.arange(docs) % ROUNDS == round_number) & tokens.train
+            turn = ((row["first"] + np.arange(docs)) % ROUNDS == round_number) & tokens.train
             chosen = np.flatnonzero(np.repeat(turn, np.diff(tokens.ends)))
             for at in range(0, len(chosen), AT_ONCE):
                 part = chosen[at:at + AT_ONCE]
@@ -226,17 +240,22 @@ def train_classes(corpus: DataFrame, counts: Unigrams) -> tuple[np.ndarray, np.n
     return bias, weights
 
 
+def _counts(one: pa.RecordBatch, row: dict, u: Unigrams) -> np.ndarray:
+    """Training count of each word of a slice; the end has code -1."""
+    n = np.zeros(len(row["endings"]) + 1, np.int64)
+    seen = one.column(one.schema.get_field_index("seen")).flatten()
+    n[seen.field("code").to_numpy(zero_copy_only=False)] = seen.field("c").to_numpy(zero_copy_only=False)
+    n[-1] = u.ends
+    return n
+
+
 def _scorer(shared):
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, weights, u = shared.value
         unknown = math.log10(u.tokens + u.types + 1)
         within = np.log10(u.class_tokens + u.class_types + 1)
-        for one, row in _rows(batches):
+        for n, row in ((counts, part) for one, whole in _rows(batches) for counts in [_counts(one, whole, u)] for part in _parts(whole)):
             tokens = SliceTokens(row, u.singles)
-            n = np.zeros(len(row["endings"]) + 1, np.int64)
-            seen = one.column(one.schema.get_field_index("seen")).flatten()
-            n[seen.field("code").to_numpy(zero_copy_only=False)] = seen.field("c").to_numpy(zero_copy_only=False)
-            n[-1] = u.ends  # the end has code -1
             c = n[tokens.codes].astype(np.float64)
             own = np.log10(c + 1)
             base = own - unknown
@@ -255,6 +274,18 @@ def _scorer(shared):
     return score
 
 
+@contextmanager
+def _short_batches(spark):
+    """While work runs inside, batches to workers hold BATCH_BYTES; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -272,11 +303,12 @@ def score_corpus(docs: DataFrame, fold: int = 7, holdout: int = 2, key: str = "d
     vocabulary = materialize(listed.groupBy("word").agg(F.sum("n").alias("c"), F.min("ending").alias("ending")), "lm-vocabulary")
     ends = corpus.agg(F.sum("train_docs")).first()[0]
     counts = unigrams(vocabulary, int(ends or 0))
-    bias, weights = train_classes(corpus, counts)
     # A slice's words with their counts in the whole training corpus; rows of a slice are bounded by SLICE_WORDS and a text's own words.
     seen = (listed.select("slice", "code", "word").join(vocabulary.filter("c > 0").select("word", "c"), "word")
             .groupBy("slice").agg(F.collect_list(F.struct("code", "c")).alias("seen")))
     whole = corpus.select("slice", "doc_ids", "train", "ends", "codes", "hashes", "endings").join(seen, "slice", "left")
     ready = whole.withColumn("seen", F.coalesce("seen", F.expr("CAST(array() AS array<struct<code: int, c: bigint>>)")))
-    shared = spark.sparkContext.broadcast((bias, weights, counts))
-    return ready.mapInArrow(_scorer(shared), RESULT)
+    with _short_batches(spark):
+        bias, weights = train_classes(corpus, counts)
+        shared = spark.sparkContext.broadcast((bias, weights, counts))
+        return materialize(ready.mapInArrow(_scorer(shared), RESULT), "lm-scores")
