@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairwright.llm.common import as_blocks, crc_fold, encode_words, materialize, per_text, slices, split_words, sum_blocks
@@ -300,12 +300,16 @@ def score_corpus(docs: DataFrame, fold: int = 7, holdout: int = 2, key: str = "d
     spark = docs.sparkSession
     corpus = split_corpus(docs, fold, holdout, key, text)
     listed = corpus.select("slice", "words", "endings", "counts").mapInArrow(_dictionary, "slice long, code int, word string, n long, ending int")
-    vocabulary = materialize(listed.groupBy("word").agg(F.sum("n").alias("c"), F.min("ending").alias("ending")), "lm-vocabulary")
+    # A word's rows, one for each slice, meet once: each gets the word's count, and one of them stands for it.
+    of_word = Window.partitionBy("hash", "word")
+    first = F.row_number().over(of_word.orderBy("slice")) == 1
+    counted = listed.withColumn("hash", F.xxhash64("word")).select("slice", "code", "ending", F.sum("n").over(of_word).alias("c"), first.alias("first"), "word")
+    counted = materialize(counted.withColumn("word", F.when(F.col("first"), F.col("word"))), "lm-words")
+    vocabulary = counted.filter("first").select("word", "c", "ending")
     ends = corpus.agg(F.sum("train_docs")).first()[0]
     counts = unigrams(vocabulary, int(ends or 0))
     # A slice's words with their counts in the whole training corpus; rows of a slice are bounded by SLICE_WORDS and a text's own words.
-    seen = (listed.select("slice", "code", "word").join(vocabulary.filter("c > 0").select("word", "c"), "word")
-            .groupBy("slice").agg(F.collect_list(F.struct("code", "c")).alias("seen")))
+    seen = counted.filter("c > 0").groupBy("slice").agg(F.collect_list(F.struct("code", "c")).alias("seen"))
     whole = corpus.select("slice", "doc_ids", "train", "ends", "codes", "hashes", "endings").join(seen, "slice", "left")
     ready = whole.withColumn("seen", F.coalesce("seen", F.expr("CAST(array() AS array<struct<code: int, c: bigint>>)")))
     with _short_batches(spark):
