@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pairwright.operators import schema, validate
 from pairwright.functions.serialize import group_fingerprint
+from pairwright.plans.storage import materialize
 
 LISTINGS = """
 base AS (SELECT k, vk, 1980 + vk % 30 AS y, concat(p_brand, 'x', CAST(CAST(floor(p_partkey / 200) AS BIGINT) AS STRING)) br, p_name nm, CAST(tp AS BIGINT) AS odo, np
@@ -52,6 +53,10 @@ vt AS (SELECT a.id AS a_id, b.id AS b_id, 1 AS match FROM va a JOIN vb b ON a.VI
 
 
 
+# Derived tables by session, folder and name.
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def pair_rid(a: str, b: str) -> Column:
     """A pair's row key: both ids as one text, of any size."""
     return F.concat(F.col(a).cast("string"), F.lit("-"), F.col(b).cast("string"))
@@ -67,7 +72,12 @@ class Data:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _view(self, name: str) -> DataFrame:
-        return self.spark.sql(f"WITH {LISTINGS} SELECT * FROM {name}", orders=self.table("orders"), part=self.table("part"))
+        """A derived table, written once in a session: queries start from a table, as they would from a source."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _WRITTEN:
+            built = self.spark.sql(f"WITH {LISTINGS} SELECT * FROM {name}", orders=self.table("orders"), part=self.table("part"))
+            _WRITTEN[key] = materialize(built, f"listings-{name}")
+        return _WRITTEN[key]
 
     @cached_property
     def raw_a(self) -> DataFrame:

@@ -127,11 +127,13 @@ LOG_COLUMNS = [*PAIR_KEY, "candidate_rows", "predicted", "match"]
 
 @query("prediction_log", f"{Q.LINKAGE} SELECT {', '.join(LOG_COLUMNS)} FROM lt")
 def _(d: Data):
+    """The rows of a run, written twice: the log holds them once."""
     path = new_path(d.spark, "predictions")
-    table = candidates.linkage_table(d.a, d.b, d.labelled).select(*LOG_COLUMNS)
-    writers.append_predictions(table.filter("candidate_rows > 0"), path)
-    writers.append_predictions(candidates.missing_pairs(table), path)
-    return d.spark.read.parquet(path)
+    table = materialize(candidates.linkage_table(d.a, d.b, d.labelled).select(*LOG_COLUMNS), "linkage")
+    for _ in range(2):
+        writers.append_predictions(table.filter("candidate_rows > 0"), path, "evaluated")
+        writers.append_predictions(candidates.missing_pairs(table), path, "missing")
+    return writers.read_predictions(d.spark, path)
 
 
 query("head_rows", f"{Q.ALIGNED} SELECT * FROM aa ORDER BY rid LIMIT 10")(lambda d: readers.head_rows(d.aligned_a))
@@ -214,6 +216,32 @@ query("mark_invalid_vin", f"{Q.MARKED} SELECT * FROM mi")(lambda d: validate.mar
 query("vin_error_summary", f"""{Q.ALIGNED} SELECT count(*) FILTER (NOT ({Q.LENGTH_BAD} OR {Q.CHARSET_BAD} OR {Q.YEAR_BAD})) AS valid,
     count(*) FILTER ({Q.LENGTH_BAD}) AS length_errors, count(*) FILTER ({Q.CHARSET_BAD}) AS charset_errors,
     count(*) FILTER ({Q.YEAR_BAD}) AS year_code_errors FROM aa""")(lambda d: validate.vin_error_summary(d.aligned_a))
+query("write_counted", f"""{Q.ALIGNED} SELECT measure, n FROM (SELECT count(*) AS total_rows, count(*) FILTER (NOT ({Q.LENGTH_BAD} OR {Q.CHARSET_BAD} OR {Q.YEAR_BAD})) AS valid,
+    count(*) FILTER ({Q.LENGTH_BAD}) AS length_errors, count(*) FILTER ({Q.CHARSET_BAD}) AS charset_errors, count(*) FILTER ({Q.YEAR_BAD}) AS year_code_errors FROM aa)
+    UNPIVOT (n FOR measure IN (total_rows, valid, length_errors, charset_errors, year_code_errors))""")(
+    lambda d: d.spark.createDataFrame(sorted(writers.write_counted(
+        validate.mark_invalid_vin(d.aligned_a), new_path(d.spark, "marked"), {"total_rows": F.count(F.lit(1)), **validate.error_counts()}).items()), "measure string, n long"))
+_SKETCHED = ["manufacturer", "model", "year", "odometer"]
+query("merged_profile", f"{Q.BASE} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS total_rows, count(*) - count({c}) AS null_count, round((count(*) - count({c})) / count(*)::DOUBLE * 100, 2) AS null_pct,
+    min({Q.number(c)}) AS low, max({Q.number(c)}) AS high, round(sum({Q.number(c)}) / count({Q.number(c)}), 2) AS mean, true AS unique_within_5_pct, true AS median_within_1_pct_of_ranks FROM va""" for c in _SKETCHED))(
+    lambda d: _merged_profile(d))
+
+
+def _merged_profile(d: Data) -> DataFrame:
+    """Profiles of eight parts, stored and merged; how near the estimates are to the exact values."""
+    parts = materialize(profile.sketch_profile(d.raw_a, _SKETCHED, F.pmod(F.col("id"), F.lit(8))), "profile-parts")
+    merged = profile.merge_profiles(parts)
+    exact = profile.value_table(d.raw_a.select(*_SKETCHED), _SKETCHED).withColumn("x", values.number(F.col("value")))
+    median = merged.select("column", F.get("quantiles", F.lit(0)).alias("median"))
+    ranks = exact.join(median, "column").groupBy("column").agg(
+        F.count("value").alias("distinct"), F.sum(F.when(F.col("x").isNotNull(), F.col("n"))).alias("all"),
+        F.sum(F.when(F.col("x") < F.col("median"), F.col("n"))).alias("below"), F.sum(F.when(F.col("x") <= F.col("median"), F.col("n"))).alias("upto"))
+    near = F.when(F.col("all").isNull(), True).otherwise((F.coalesce(F.col("below"), F.lit(0)) <= F.col("all") * 0.51) & (F.col("upto") >= F.col("all") * 0.49))
+    return merged.join(ranks, "column").select("column", "total_rows", "null_count", "null_pct", "low", "high", F.round("mean", 2).alias("mean"),
+        (F.abs(F.col("unique_estimate") - F.col("distinct")) <= F.col("distinct") * 0.05).alias("unique_within_5_pct"), near.alias("median_within_1_pct_of_ranks"))
+
+
 _REPEATED = "vin IN (SELECT vin FROM aa WHERE vin <> '' GROUP BY vin HAVING count(*) > 1)"
 query("mark_duplicate_vins", f"{Q.ALIGNED} SELECT * REPLACE (CASE WHEN {_REPEATED} THEN 1 ELSE invalid END AS invalid) FROM aa")(
     lambda d: validate.mark_duplicate_vins(d.aligned_a))
@@ -268,6 +296,16 @@ _DEDUP = f"{_texts_sql()}, {Q.similar()}, {Q.LEADERS}"
 _SHOWN = ["doc_id", "lang", "source", "n_chars"]
 query("near_dup_listings", f"{_DEDUP} SELECT {', '.join(_SHOWN)} FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)")(
     lambda d: dedup.without_duplicates(d.documents.select(*_SHOWN), _near(d), "doc_id"))
+query("near_dup_vehicle_listings", f"{_DEDUP} SELECT doc_id AS id, source AS VIN, lang AS manufacturer, n_chars AS price FROM documents WHERE doc_id NOT IN (SELECT id FROM dropped)")(
+    lambda d: _listing_dedup(d))
+
+
+def _listing_dedup(d: Data) -> DataFrame:
+    """The documents in the shape of listings: rows are compared where VIN and all compared columns agree; the price is none of them."""
+    listings = d.documents.select(F.col("doc_id").alias("id"), F.col("source").alias("VIN"), F.col("lang").alias("manufacturer"), F.col("n_chars").alias("price"), F.col("text").alias("description"))
+    return dedup.without_duplicates(listings.drop("description"), dedup.find_near_dup_listings(listings))
+
+
 query("near_dup_inspection", f"{_DEDUP} SELECT {', '.join(_SHOWN)} FROM documents WHERE doc_id IN (SELECT id FROM involved)")(
     lambda d: dedup.inspection(d.documents.select(*_SHOWN), _near(d), "doc_id"))
 query("near_dup_summary", f"""{_DEDUP} SELECT n AS initial_rows, k AS removed_rows, n - k AS final_rows
@@ -303,6 +341,9 @@ query("missing_pairs", f"{Q.LINKAGE} SELECT {Q.KEYS}, match, predicted FROM lt W
     lambda d: candidates.missing_pairs(candidates.linkage_table(d.a, d.b, d.labelled)).select(*PAIR_KEY, "match", "predicted"))
 _CANDIDATE_OF = " AND ".join(
     f"c.{f if f in schema.BLOCK_KEY else f'{f}_{s}'} IS NOT DISTINCT FROM lp.{s}_{f}" for s in "ab" for f in FIELDS)
+query("test_right_join", f"""{IN_TEST}, c AS (SELECT DISTINCT * EXCLUDE (rid_a, rid_b) FROM ci)
+    SELECT {Q.PAIR_TEXT} AS line FROM lp LEFT JOIN c ON {_CANDIDATE_OF}""")(
+    lambda d: candidates.serialize_pairs(candidates.test_right_join(d.a, d.b, d.labelled)))
 query("candidates_right_join", f"""{IN_TEST}, c AS (SELECT DISTINCT * EXCLUDE (rid_a, rid_b) FROM ci)
     SELECT {Q.PAIR_TEXT} AS line FROM lp LEFT JOIN c ON {_CANDIDATE_OF}""")(
     lambda d: candidates.serialize_pairs(candidates.candidates_right_join(

@@ -12,9 +12,10 @@ NULL_TOKENS = (
     "nan", "null",
 )
 
-# What surrounds a text without being part of it (Unicode white
-# space and the information separators).
-BLANKS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+# What surrounds a text without being part of it (ASCII white
+# space, the information separators, the next-line sign, Unicode separators).
+BLANKS = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+          "\u2028\u2029\u202f\u205f\u3000")
 
 # A plain decimal number. The guard keeps out texts such as "12d", which
 # Spark's own cast would accept.
@@ -28,7 +29,7 @@ def null_if_token(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, rf"\A{BLANKS}+|{BLANKS}+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def number(c: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.functions.scoring import MATCH_THRESHOLD, match_flag, pair_score
-from pairwright.functions.serialize import pair_text
+from pairwright.functions.serialize import group_fingerprint, pair_text
 from pairwright.functions.values import blank_if_null
 from pairwright.operators.schema import BLOCK_KEY, FIELDS, PAIR_KEY, pairs_to_prefixed, side
 from pairwright.plans.skew import ROWS_PER_CELL, skew_join
@@ -40,18 +40,19 @@ def candidates_in_test(a: DataFrame, b: DataFrame, test: DataFrame,
     Same rows and columns as filtering the result of blocking on manufacturer
     and year.
     """
-    keys = _blockable(test.select(*[blank_if_null(F.col(k)).alias(k) for k in PAIR_KEY])).distinct()
-    # The joins below read their inputs twice, to count keys and to join.
-    keys = materialize(keys, "test-keys")
+    # A record is known by a fingerprint of its compared fields; nulls count as ''.
+    print_of = lambda s, name: group_fingerprint([blank_if_null(F.col(f"{s}{f}")) for f in FIELDS]).alias(name)
+    keys = _blockable(test.select(*[blank_if_null(F.col(k)).alias(k) for k in PAIR_KEY]))
+    keys = materialize(keys.select(print_of("a_", "_in_a"), print_of("b_", "_in_b")).distinct(), "test-keys")
 
     def records(df: DataFrame, s: str) -> DataFrame:
-        return df.select(*[blank_if_null(F.col(f)).alias(f"{s}_{f}") for f in FIELDS],
-                         *[F.col(c).alias(f"{c}_{s}") for c in df.columns])
-    in_a = [f"a_{f}" for f in FIELDS]
-    in_b = [f"b_{f}" for f in FIELDS]
-    with_a = skew_join(keys, records(a, "a"), in_a, in_b, ["rid_a"], rows_per_cell=rows_per_cell)
-    with_a = materialize(with_a, "test-with-a")
-    pairs = skew_join(with_a, records(b, "b"), in_b, ["rid_a"], ["rid_b"], rows_per_cell=rows_per_cell)
+        """Rows of a table that are in the test set, read once and written: the join below needs them twice."""
+        wanted = keys.select(f"_in_{s}").distinct()
+        own = df.select(print_of("", f"_in_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in df.columns])
+        return materialize(own.join(wanted, f"_in_{s}", "left_semi"), f"test-records-{s}")
+    with_a = skew_join(keys, records(a, "a"), ["_in_a"], ["_in_b"], ["rid_a"], rows_per_cell=rows_per_cell)
+    with_a = materialize(with_a.drop("_in_a"), "test-with-a")
+    pairs = skew_join(with_a, records(b, "b"), ["_in_b"], ["rid_a"], ["rid_b"], rows_per_cell=rows_per_cell)
     same = reduce(and_, [F.col(f"{k}_a").eqNullSafe(F.col(f"{k}_b")) for k in BLOCK_KEY])
     return pairs.filter(same).select(
         *[F.col(f"{k}_a").alias(k) for k in BLOCK_KEY],
@@ -101,11 +102,35 @@ def candidates_right_join(candidates: DataFrame, test: DataFrame) -> DataFrame:
     candidates are joined.
     """
     copies = pairs_to_prefixed(candidates).groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("_copies"))
-    same = reduce(and_, [test[k].eqNullSafe(copies[k]) for k in PAIR_KEY])
-    label = F.coalesce(test["match"].cast("string"), F.lit("0")).alias("match")
-    times = F.sequence(F.lit(1), F.coalesce(copies["_copies"], F.lit(1)))
-    return test.join(copies, same, "left").select(
-        *[test[k] for k in PAIR_KEY], label, F.explode(times).alias("_copy")).drop("_copy")
+    return _times(test, copies)
+
+
+def test_right_join(a: DataFrame, b: DataFrame, test: DataFrame, distinct: bool = True) -> DataFrame:
+    """As :func:`candidates_right_join` with the candidates of two tables, which are not built.
+
+    A candidate has a test row's key if each side has a record with exactly
+    its ten values (null is not ''), and both agree on the block key. With
+    ``distinct``, as after removing repeated candidates, rows that differ in other
+    columns (all but ``rid``) are told apart; without, every pair of rows counts.
+    """
+    def counted(df: DataFrame, s: str) -> DataFrame:
+        rows = df.drop("rid").distinct() if distinct else df
+        own = rows.select(group_fingerprint([F.col(f) for f in FIELDS]).alias(f"_in_{s}"))
+        return own.groupBy(f"_in_{s}").agg(F.count(F.lit(1)).alias(f"_n_{s}"))
+    prints = [group_fingerprint([F.col(f"{s}_{f}") for f in FIELDS]).alias(f"_in_{s}") for s in "ab"]
+    agree = reduce(and_, [F.col(f"a_{k}").eqNullSafe(F.col(f"b_{k}")) for k in BLOCK_KEY])
+    asked = test.filter(agree).select(*PAIR_KEY, *prints).distinct()
+    found = asked.join(counted(a, "a"), "_in_a").join(counted(b, "b"), "_in_b")
+    return _times(test, found.select(*PAIR_KEY, (F.col("_n_a") * F.col("_n_b")).alias("_copies")))
+
+
+def _times(test: DataFrame, copies: DataFrame) -> DataFrame:
+    """Each test row as often as its key is counted, and at least once."""
+    copies = copies.select(*[F.col(k).alias(f"_{k}") for k in PAIR_KEY], "_copies")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PAIR_KEY])
+    label = F.coalesce(F.col("match").cast("string"), F.lit("0")).alias("match")
+    times = F.sequence(F.lit(1).cast("bigint"), F.coalesce(F.col("_copies"), F.lit(1).cast("bigint")))
+    return test.join(copies, same, "left").select(*PAIR_KEY, label, F.explode(times).alias("_copy")).drop("_copy")
 
 
 def serialize_pairs(pairs: DataFrame) -> DataFrame:

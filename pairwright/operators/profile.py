@@ -81,3 +81,34 @@ def vin_counts(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Frequency of each non-null value of a column."""
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- profiles of parts, merged later ------------------------------------------
+
+# Bits of a distinct-count sketch: 2 ** 12 buckets, a standard error of 1.6 %; and the size of a quantile sketch, an error of about 0.7 % in rank.
+HLL_BITS, KLL_SIZE = 12, 400
+
+
+def sketch_profile(df: DataFrame, columns: list[str], part: Column) -> DataFrame:
+    """(part, column, total_rows, null_count, numbers, low, high, total, distinct_sketch, number_sketch): one row for each part and column.
+
+    A sketch is a few kilobytes whatever the rows, so profiles of parts are kept and merged instead of scanning them again.
+    """
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    rows = df.select(part.cast("string").alias("part"), F.inline(entries)).withColumn("x", number(F.col("value")))
+    return rows.groupBy("part", "column").agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count(F.when(F.col("value").isNull(), 1)).alias("null_count"), F.count("x").alias("numbers"),
+        F.min("x").alias("low"), F.max("x").alias("high"), F.sum("x").alias("total"),
+        F.hll_sketch_agg("value", F.lit(HLL_BITS)).alias("distinct_sketch"), F.kll_sketch_agg_double("x", F.lit(KLL_SIZE)).alias("number_sketch"))
+
+
+def merge_profiles(parts: DataFrame, quantiles: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """(column, total_rows, null_count, null_pct, unique_estimate, low, high, mean, quantiles): profiles of parts as one. Counts, ranges and means
+    are exact; distinct values and quantiles carry the sketches' error."""
+    merged = parts.groupBy("column").agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("null_count").alias("null_count"), F.sum("numbers").alias("numbers"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.sum("total").alias("total"), F.hll_union_agg("distinct_sketch").alias("d"), F.kll_merge_agg_double("number_sketch").alias("q"))
+    shown = F.array(*[F.when(F.col("numbers") > 0, F.kll_sketch_get_quantile_double("q", F.lit(x))) for x in quantiles])
+    return merged.select("column", "total_rows", "null_count", F.round(F.col("null_count") / F.col("total_rows") * 100, 2).alias("null_pct"),
+                         F.hll_sketch_estimate("d").alias("unique_estimate"), "low", "high", F.when(F.col("numbers") > 0, F.col("total") / F.col("numbers")).alias("mean"),
+                         shown.alias("quantiles"))

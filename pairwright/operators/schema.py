@@ -18,12 +18,16 @@ LISTING_COLUMNS = ("vin", *FIELDS, "invalid")
 PAIR_KEY = tuple(f"{side}_{f}" for side in "ab" for f in FIELDS)
 BLOCK_KEY = ("manufacturer", "year")
 
-# Source columns, in the order of LISTING_COLUMNS without 'invalid'.
+# Column of each source -> column of the mediated schema.
 SOURCE_COLUMNS = {
-    "vehicles": ("VIN", "manufacturer", "model", "year", "odometer", "fuel", "transmission",
-                 "type", "cylinders", "drive", "paint_color"),
-    "used_cars": ("vin", "make_name", "model_name", "year", "mileage", "fuel_type", "transmission",
-                  "body_type", "engine_cylinders", "wheel_system", "exterior_color"),
+    "vehicles": {
+        "VIN": "vin", "manufacturer": "manufacturer", "model": "model", "year": "year", "odometer": "mileage", "fuel": "fuel_type",
+        "transmission": "transmission", "type": "body_type", "cylinders": "cylinders", "drive": "drive", "paint_color": "color",
+    },
+    "used_cars": {
+        "vin": "vin", "make_name": "manufacturer", "model_name": "model", "year": "year", "mileage": "mileage", "fuel_type": "fuel_type",
+        "transmission": "transmission", "body_type": "body_type", "engine_cylinders": "cylinders", "wheel_system": "drive", "exterior_color": "color",
+    },
 }
 
 
@@ -48,8 +52,7 @@ def align(df: DataFrame, dataset_type: str = "vehicles", rid: str | None = None)
     sources = SOURCE_COLUMNS[dataset_type]
     require(df, *sources)
     key = [F.col(rid).cast("bigint").alias("rid")] if rid else []
-    return df.select(*key, *[F.col(s).cast("string").alias(d) for s, d in zip(sources, LISTING_COLUMNS)],
-                     F.lit(0).alias("invalid"))
+    return df.select(*key, *[F.col(s).cast("string").alias(d) for s, d in sources.items()], F.lit(0).alias("invalid"))
 
 
 def normalize_all(df: DataFrame) -> DataFrame:

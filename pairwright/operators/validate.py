@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.functions import vin as checks
@@ -23,13 +23,16 @@ def mark_invalid_vin(df: DataFrame) -> DataFrame:
     return df.withColumn("invalid", bad.cast("int"))
 
 
-def vin_error_summary(df: DataFrame) -> DataFrame:
-    """Valid rows and, overlapping, rows failing each check."""
-    require(df, "vin", "year")
+def error_counts() -> dict[str, Column]:
+    """Valid rows and, overlapping, rows failing each check, as aggregates."""
     f = _flags()
     count = lambda c: F.coalesce(F.sum(c.cast("bigint")), F.lit(0))
-    return df.agg(count(~(f["length"] | f["charset"] | f["year_code"])).alias("valid"),
-                  *[count(c).alias(f"{n}_errors") for n, c in f.items()])
+    return {"valid": count(~(f["length"] | f["charset"] | f["year_code"])), **{f"{n}_errors": count(c) for n, c in f.items()}}
+
+
+def vin_error_summary(df: DataFrame) -> DataFrame:
+    require(df, "vin", "year")
+    return df.agg(*[c.alias(n) for n, c in error_counts().items()])
 
 
 def _with_repeats(df: DataFrame) -> DataFrame:

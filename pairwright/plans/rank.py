@@ -58,6 +58,26 @@ def exact_rank(df: DataFrame, order_key: Column, ties: Sequence[str], name: str
     return ranked.drop("_key")
 
 
+def order_cuts(keys: DataFrame, positions: Sequence[int], key: str = "_key", tie: str = "_tie") -> list:
+    """The (key, tie) at each 1-based position of the ascending order; None before the first and beyond the last.
+
+    ``keys`` holds a hexadecimal hash text and a tie-breaker. Counts of
+    buckets of the leading digits show in which bucket a position lies; only the rows of
+    those buckets are ranked, and one row for each position comes back.
+    """
+    rows = keys.withColumn("_bucket", F.substring(key, 1, BUCKET_DIGITS))
+    counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+    upto = materialize(counts.withColumn("upto", F.sum("n").over(Window.orderBy("_bucket"))), "order-counts")  # at most 16 ** BUCKET_DIGITS rows
+    wanted = [p for p in positions if p > 0]
+    held = F.array(*map(F.lit, wanted)) if wanted else F.array().cast("array<int>")
+    inside = F.filter(held, lambda p: (p <= F.col("upto")) & (p > F.col("upto") - F.col("n")))
+    buckets = upto.withColumn("_asked", inside).filter(F.size("_asked") > 0).select("_bucket", "_asked", (F.col("upto") - F.col("n")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(key, tie)) + F.col("_before")
+    found = rows.join(F.broadcast(buckets), "_bucket").withColumn("_place", place).filter(F.array_contains("_asked", F.col("_place").cast("int")))  # a bucket for each position
+    at = {r["_place"]: (r[key], r[tie]) for r in found.select("_place", key, tie).collect()}
+    return [at.get(p) for p in positions]
+
+
 def in_range_buckets(df: DataFrame, *order: str) -> DataFrame:
     """Write ``df`` in ranges of ``order``, and add ``_range``, the number of its range.
 
