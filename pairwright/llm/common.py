@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -72,10 +74,21 @@ def per_text(ufunc: np.ufunc, values: np.ndarray, ends: np.ndarray, empty: float
 _KEPT: list = [None, None]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: a worker process outlives the work that needed it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def kept_in_worker(owner: object, make):
     """What a worker process keeps for later tasks of ``owner``. It keeps one thing only: another owner's is dropped."""
     if _KEPT[0] != owner:
         _KEPT[:] = [None, None]
+        _give_back()
         _KEPT[:] = [owner, make()]
     return _KEPT[1]
 
