@@ -23,10 +23,21 @@ from pairwright.plans.storage import materialize
 
 
 def test_lookup(test: DataFrame) -> DataFrame:
-    """One row per pair key (null read as ''); the last label by ``rid`` wins."""
-    keyed = test.select(*[blank_if_null(F.col(k)).alias(k) for k in PAIR_KEY], "rid",
-                        F.col("match").cast("int").alias("match"))
-    return keyed.groupBy(*PAIR_KEY).agg(F.max_by("match", "rid").alias("match"))
+    """One row per pair key (null read as ''); the last label by ``rid`` wins.
+
+    ``test`` is read once and written. Rows are grouped only where the hash of their key occurs
+    more than once; all others stay where they are.
+    """
+    keyed = test.select(*[blank_if_null(F.col(k)).alias(k) for k in PAIR_KEY], "rid", F.col("match").cast("int").alias("match"))
+    keyed = materialize(keyed.withColumn("_key", F.xxhash64(*PAIR_KEY)), "test-rows")
+    counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
+    repeated = materialize(counts.filter("n > 1").select("_key"), "repeated-keys")
+    label = F.when(F.col("rid").isNotNull(), F.col("match")).alias("match")  # a label without a rid is never the last one
+    if repeated.isEmpty():
+        return keyed.select(*PAIR_KEY, label)
+    once = keyed.join(repeated, "_key", "left_anti").select(*PAIR_KEY, label)
+    again = keyed.join(repeated, "_key", "left_semi").groupBy(*PAIR_KEY).agg(F.max_by("match", "rid").alias("match"))
+    return once.unionByName(again)
 
 
 def _print(columns: list[Column]) -> Column:
@@ -34,8 +45,14 @@ def _print(columns: list[Column]) -> Column:
     return F.unhex(group_fingerprint(columns))
 
 
+def _blocked() -> Column:
+    """The pair key (without nulls) agrees on the block key."""
+    # As one value: from equal columns the optimizer derives one more filter for each way to write the key's hash.
+    return F.array(*[F.col(f"a_{k}") for k in BLOCK_KEY]) == F.array(*[F.col(f"b_{k}") for k in BLOCK_KEY])
+
+
 def _blockable(keys: DataFrame) -> DataFrame:
-    return keys.filter(reduce(and_, [F.col(f"a_{k}") == F.col(f"b_{k}") for k in BLOCK_KEY]))
+    return keys.filter(_blocked())
 
 
 def candidates_in_test(a: DataFrame, b: DataFrame, test: DataFrame,
@@ -65,13 +82,19 @@ def candidates_in_test(a: DataFrame, b: DataFrame, test: DataFrame,
         *[f"{c}_b" for c in b.columns if c not in BLOCK_KEY])
 
 
+def _in_side(prefix: str, s: str) -> dict[str, Column]:
+    """A record by two 64-bit hashes of its compared fields; nulls count as ''."""
+    values = [blank_if_null(F.col(f"{prefix}{f}")) for f in FIELDS]
+    return {f"_in_{s}": F.xxhash64(*values), f"_too_{s}": F.xxhash64(F.lit("too"), *values)}
+
+
 def _record_counts(df: DataFrame, s: str) -> DataFrame:
     # A null and a '' have the same pair key but do not share a block, so
     # counts are kept apart by which block columns are null.
     null_mask = sum((F.col(k).isNull().cast("int") * (2 ** i) for i, k in enumerate(BLOCK_KEY)), F.lit(0))
     masks = [F.count(F.when(F.col("_mask") == m, 1)).alias(f"n{m}_{s}") for m in range(2 ** len(BLOCK_KEY))]
-    return (df.select(*[blank_if_null(F.col(f)).alias(f"{s}_{f}") for f in FIELDS], null_mask.alias("_mask"))
-            .groupBy(*[f"{s}_{f}" for f in FIELDS]).agg(*masks))
+    own = _in_side("", s)
+    return df.select(*[c.alias(n) for n, c in own.items()], null_mask.alias("_mask")).groupBy(*own).agg(*masks)
 
 
 def linkage_table(a: DataFrame, b: DataFrame, test: DataFrame, threshold: float = MATCH_THRESHOLD) -> DataFrame:
@@ -80,18 +103,21 @@ def linkage_table(a: DataFrame, b: DataFrame, test: DataFrame, threshold: float
     ``candidate_rows`` is how many block pairs have the pair's key (the
     product of record counts, so repeated records are never multiplied out);
     0 means that blocking missed the pair, which is then predicted 0.
+
+    Only pairs that agree on the block key meet the record counts, by hashes; then their texts are moved once.
     """
-    in_a = [f"a_{f}" for f in FIELDS]
-    in_b = [f"b_{f}" for f in FIELDS]
-    joined = (test_lookup(test).join(_record_counts(a, "a"), in_a, "left")
-              .join(_record_counts(b, "b"), in_b, "left"))
-    products = [F.coalesce(F.col(f"n{m}_a") * F.col(f"n{m}_b"), F.lit(0)) for m in range(2 ** len(BLOCK_KEY))]
-    blocked = reduce(and_, [F.col(f"a_{k}") == F.col(f"b_{k}") for k in BLOCK_KEY])
-    rows = F.when(blocked, reduce(lambda x, y: x + y, products)).otherwise(F.lit(0).cast("bigint"))
-    counted = joined.select(*PAIR_KEY, "match", rows.alias("candidate_rows"))
+    lookup = test_lookup(test)
+    in_a, in_b = _in_side("a_", "a"), _in_side("b_", "b")
+    pairs = _blockable(lookup).withColumns({**in_a, **in_b})
+    products = [F.col(f"n{m}_a") * F.col(f"n{m}_b") for m in range(2 ** len(BLOCK_KEY))]
+    found = (pairs.select(*in_a, *in_b).join(_record_counts(a, "a"), [*in_a]).join(_record_counts(b, "b"), [*in_b])
+             .select(*in_a, *in_b, reduce(lambda x, y: x + y, products).alias("_rows")).filter("_rows > 0"))
+    none = F.lit(0).cast("bigint")
+    met = pairs.join(found, [*in_a, *in_b], "left").select(*PAIR_KEY, "match", F.coalesce("_rows", none).alias("candidate_rows"))
     score = F.when(F.col("candidate_rows") > 0, pair_score(side("a_"), side("b_")))
-    return counted.withColumn("score", score).withColumn(
-        "predicted", F.coalesce(match_flag(F.col("score"), threshold), F.lit(0)))
+    met = met.withColumn("score", score).withColumn("predicted", F.coalesce(match_flag(F.col("score"), threshold), F.lit(0)))
+    apart = lookup.filter(~_blocked()).select(*PAIR_KEY, "match", none.alias("candidate_rows"), F.lit(None).cast("double").alias("score"), F.lit(0).alias("predicted"))
+    return met.unionByName(apart)
 
 
 def missing_pairs(table: DataFrame) -> DataFrame:
