@@ -29,6 +29,8 @@ MAX_DOCS_PER_CLASS = 10_000
 HIDDEN, STEPS, RATE = 24, 400, 0.02
 # Words that a worker remembers, 12 bytes each besides the word.
 CACHED_WORDS = 150_000
+# Terms whose vectors are laid out at once (20 MB).
+TERMS_AT_ONCE = 50_000
 
 
 def _index_vectors(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,11 +122,24 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     return (centred / np.maximum(np.linalg.norm(centred, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
+def text_sums(vectors: np.ndarray, stream: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Per text the sum of its terms' vectors; texts are taken in runs of TERMS_AT_ONCE terms, a longer text in parts of so many."""
+    docs, at = len(ends) - 1, 0
+    out = np.zeros((docs, vectors.shape[1]))
+    while at < docs:
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + TERMS_AT_ONCE, "right")) - 1)
+        for start in range(int(ends[at]), int(ends[stop]), TERMS_AT_ONCE):
+            part = stream[start:min(start + TERMS_AT_ONCE, ends[stop])]
+            out[at:stop] += per_text(np.add, vectors[part].astype(np.float64), np.clip(ends[at:stop + 1] - start, 0, len(part)))
+        at = stop
+    return out
+
+
 def pooled(texts: pa.Array, vectors: np.ndarray, terms: Terms) -> np.ndarray:
     """Per text: mean word vector, mean vector of forms, and the logarithm of the number of words."""
     words, forms, ends = term_streams(texts, terms)
     n = np.maximum(np.diff(ends), 1)[:, None].astype(np.float64)
-    means = [per_text(np.add, vectors[s].astype(np.float64), ends) / n for s in (words, forms)]
+    means = [text_sums(vectors, s, ends) / n for s in (words, forms)]
     return np.concatenate([*means, np.log1p(np.diff(ends))[:, None]], axis=1)
 
 
