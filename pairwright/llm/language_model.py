@@ -43,6 +43,15 @@ BATCH_BYTES = "8m"
 SLICE_DDL = "slice long, train_docs long, doc_ids array<long>, train binary, ends binary, codes binary, words array<string>, hashes binary, endings binary, counts binary"
 
 
+def pack_codes(codes: np.ndarray) -> bytes:
+    """Bytes of the same weight side by side: those of high weight are mostly zero, so that files and shuffles hold little of them."""
+    return codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack_codes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
 def _slices_of(fold_column: int, holdout: int):
     """Rows of SLICE_DDL: documents as numbers of the slice's own dictionary, and each word's training count."""
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,7 +64,7 @@ def _slices_of(fold_column: int, holdout: int):
             flat = np.concatenate(codes) if codes else np.zeros(0, np.int32)
             n, keep = np.concatenate(sizes), np.concatenate(train)
             counts = np.bincount(flat[np.repeat(keep, n)], minlength=len(place)).astype("<i4")
-            values = [task * 2**32 + k, int(keep.sum()), ids, keep.tobytes(), np.concatenate(([0], np.cumsum(n))).astype("<i8").tobytes(), flat.astype("<i4").tobytes(), list(place),
+            values = [task * 2**32 + k, int(keep.sum()), ids, keep.tobytes(), np.concatenate(([0], np.cumsum(n))).astype("<i8").tobytes(), pack_codes(flat), list(place),
                       np.fromiter((xxhash.xxh64_intdigest(w) for w in place), np.uint64, len(place)).astype("<u8").tobytes(),
                       np.fromiter((ending_class(w) for w in place), np.uint8, len(place)).tobytes(), counts.tobytes()]
             types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
@@ -133,16 +142,12 @@ def unigrams(vocabulary: DataFrame, ends: int) -> Unigrams:
 
 
 class SliceTokens:
-    """The tokens of a slice with the end of each document, as hashes and classes."""
-
-    def __init__(self, row: dict, singles: list[str]):
-        hashes = np.frombuffer(row["hashes"], "<u8")
-        classes = np.frombuffer(row["endings"], np.uint8).astype(np.int64)
-        for k, w in enumerate(singles):  # 64-bit hashes tell words apart
-            classes[hashes == np.uint64(xxhash.xxh64_intdigest(w))] = k
-        ends, codes = np.frombuffer(row["ends"], "<i8"), np.frombuffer(row["codes"], "<i4")
+    """The tokens of a part of a slice with the end of each document, as hashes and classes."""
+
+    def __init__(self, row: dict):
+        hashes, classes, ends, codes = row["hashes"], row["classes"], row["ends"], row["codes"]
         docs = len(ends) - 1
-        self.train = np.frombuffer(row["train"], np.bool_)
+        self.train = row["train"]
         self.ends = ends + np.arange(docs + 1)
         at = np.ones(self.ends[-1], bool)
         at[self.ends[1:] - 1] = False
@@ -173,14 +178,25 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, d
             yield one, {name: one.column(i)[0].as_py() for i, name in enumerate(one.schema.names) if name != "seen"}
 
 
-def _parts(row: dict) -> Iterator[dict]:
-    """A slice in runs of documents of about PART_TOKENS tokens: the arrays that are made of tokens stay short."""
-    ends, codes = np.frombuffer(row["ends"], "<i8"), np.frombuffer(row["codes"], "<i4")
+def _parts(row: dict, singles: list[str], round_number: int | None = None) -> Iterator[dict]:
+    """A slice in runs of documents of about PART_TOKENS tokens: the arrays that are made of tokens stay short.
+
+    With a round's number, of its training documents alone.
+    """
+    ends, codes, train = np.frombuffer(row["ends"], "<i8"), unpack_codes(row["codes"]), np.frombuffer(row["train"], np.bool_)
+    hashes = np.frombuffer(row["hashes"], "<u8")
+    classes = np.frombuffer(row["endings"], np.uint8).astype(np.int64)
+    for k, w in enumerate(singles):  # 64-bit hashes tell words apart
+        classes[hashes == np.uint64(xxhash.xxh64_intdigest(w))] = k
+    if round_number is not None:
+        turn = train & (np.arange(len(train)) % ROUNDS == round_number)
+        sizes = np.diff(ends)
+        ends, codes, train = np.concatenate(([0], np.cumsum(sizes[turn]))), codes[np.repeat(turn, sizes)], train[turn]
     docs, at = len(ends) - 1, 0
     while at < docs:
         stop = min(docs, max(at + 1, int(np.searchsorted(ends, ends[at] + PART_TOKENS, "right")) - 1))
-        yield {**row, "ends": (ends[at:stop + 1] - ends[at]).astype("<i8"), "codes": codes[ends[at]:ends[stop]], "train": row["train"][at:stop],
-               "doc_ids": row.get("doc_ids", [])[at:stop], "first": at}
+        yield {"hashes": hashes, "classes": classes, "ends": ends[at:stop + 1] - ends[at], "codes": codes[ends[at]:ends[stop]], "train": train[at:stop],
+               "doc_ids": row.get("doc_ids", [])[at:stop]}
         at = stop
 
 
@@ -201,18 +217,14 @@ def _gradients(shared, round_number: int):
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, weights, singles = shared.value
         observed, expected = np.zeros(KINDS * BUCKETS * CLASSES), np.zeros((KINDS * BUCKETS, CLASSES), np.float64)
-        for row in (part for _, whole in _rows(batches) for part in _parts(whole)):
-            tokens = SliceTokens(row, singles)
-            docs = len(tokens.train)
-            turn = ((row["first"] + np.arange(docs)) % ROUNDS == round_number) & tokens.train
-            chosen = np.flatnonzero(np.repeat(turn, np.diff(tokens.ends)))
-            for at in range(0, len(chosen), AT_ONCE):
-                part = chosen[at:at + AT_ONCE]
-                features, classes = tokens.features[:, part], tokens.classes[part]
+        for row in (part for _, whole in _rows(batches) for part in _parts(whole, singles, round_number)):
+            tokens = SliceTokens(row)
+            for at in range(0, len(tokens.classes), AT_ONCE):
+                features, classes = tokens.features[:, at:at + AT_ONCE], tokens.classes[at:at + AT_ONCE]
                 p = class_probabilities(bias, weights, features)
+                observed += np.bincount((features.astype(np.int64) * CLASSES + classes).ravel(), minlength=len(observed))
                 for f in features:
-                    observed += np.bincount(f.astype(np.int64) * CLASSES + classes, minlength=len(observed))
-                    order = np.argsort(f, kind="stable")
+                    order = np.argsort(f.astype(np.min_scalar_type(len(weights))), kind="stable")  # short numbers are sorted by their digits
                     rows = f[order]
                     starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
                     expected[rows[starts]] += np.add.reduceat(p[order], starts, axis=0)
@@ -254,8 +266,8 @@ def _scorer(shared):
         bias, weights, u = shared.value
         unknown = math.log10(u.tokens + u.types + 1)
         within = np.log10(u.class_tokens + u.class_types + 1)
-        for n, row in ((counts, part) for one, whole in _rows(batches) for counts in [_counts(one, whole, u)] for part in _parts(whole)):
-            tokens = SliceTokens(row, u.singles)
+        for n, row in ((counts, part) for one, whole in _rows(batches) for counts in [_counts(one, whole, u)] for part in _parts(whole, u.singles)):
+            tokens = SliceTokens(row)
             c = n[tokens.codes].astype(np.float64)
             own = np.log10(c + 1)
             base = own - unknown
