@@ -84,7 +84,9 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cores: dict[str, tuple[int, ...]] = {}
+        # Place of each run of letters or mark that is remembered; ids of place k are flat[ends[k]:ends[k + 1]].
+        self.places: dict[str, int] = {}
+        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(words.values()) + 1, bool)
         self.ends_word[[i for w, i in words.items() if w.endswith(WORD_END)]] = True
@@ -106,18 +108,26 @@ class WordEncoder:
             return core.lower(), mark, True
         return word, "", False
 
-    def _ids(self, words: list[str]) -> list[tuple[int, ...]]:
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and where each word's ids start and end."""
         parts = [self._parts(w) for w in words]
-        cores = self.cores
-        letters = list({c for c, _, plain in parts if plain and c not in cores})
-        others = list({x for c, m, plain in parts for x in ((m,) if plain else (c,)) if x and x not in cores})
-        coded = dict(zip(letters, self._encode_letters(letters)))
-        coded.update(zip(others, (tuple(e.ids) for e in self.tokenizer.encode_batch(others, add_special_tokens=False))))
-        if len(cores) + len(coded) <= CACHED_WORDS:
-            cores.update(coded)
+        places = self.places
+        letters = list({c for c, _, plain in parts if plain and c not in places})
+        others = list({x for c, m, plain in parts for x in ((m,) if plain else (c,)) if x and x not in places})
+        coded = self._encode_letters(letters) + [tuple(e.ids) for e in self.tokenizer.encode_batch(others, add_special_tokens=False)]
+        new = dict(zip(chain(letters, others), range(len(places), len(places) + len(coded))))
+        flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(coded), np.int32)])
+        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in coded], dtype=np.int64)])
+        if len(places) + len(new) <= CACHED_WORDS:
+            places.update(new)
+            self.flat, self.ends = flat, ends
         else:  # what is remembered stays: frequent words come early
-            cores = ChainMap(coded, cores)
-        return [cores[c] + cores[m] if m else cores[c] for c, m, _ in parts]
+            places = ChainMap(new, places)
+        # Letters and mark of each word side by side; a word without a mark has no ids there.
+        at = np.fromiter((places[x] if x else -1 for c, m, _ in parts for x in (c, m)), np.int64, 2 * len(parts))
+        sizes = np.where(at >= 0, ends[at + 1] - ends[at], 0)
+        stops = np.concatenate(([0], np.cumsum(sizes)))
+        return flat[np.arange(stops[-1]) + np.repeat(ends[at] - stops[:-1], sizes)], stops[::2]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids start and end."""
@@ -125,9 +135,8 @@ class WordEncoder:
         distinct, codes = encode_words(words)
         if not len(codes):
             return np.zeros(0, np.int32), np.zeros(len(word_ends), np.int64)
-        ids = self._ids(distinct)
-        flat = np.fromiter(chain.from_iterable(ids), np.int32)
-        ends = np.concatenate(([0], np.cumsum([len(x) for x in ids], dtype=np.int32))).astype(np.int32)
+        flat, ends = self._ids(distinct)
+        ends = ends.astype(np.int32)
         sizes = np.diff(ends)[codes]
         id_ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         places = np.arange(id_ends[-1], dtype=np.int32) + np.repeat(ends[codes] - id_ends[:-1].astype(np.int32), sizes)
